@@ -1,0 +1,20 @@
+"""Named queries over the test tables, grouped by module."""
+
+from __future__ import annotations
+
+import importlib
+from types import ModuleType
+
+from pyspark.sql import DataFrame, SparkSession
+
+NAMES = ("packed",)
+
+
+def modules() -> list[ModuleType]:
+    return [importlib.import_module(f"tandemtext.queries.{name}") for name in NAMES]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tandemtext.queries.packed import p1_found
+
+    return p1_found(spark, sf_dir)
