@@ -6,9 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tandemtext.llm.cutoffs import cutoffs, kept_records
 from tandemtext.llm.leaks import leaked_items
+from tandemtext.llm.overlaps import cross_split_pairs, overlap_report
 from tandemtext.llm.tokenize import token_ids
-from tandemtext.session import table
+from tandemtext.session import latest, table
+
+
+SCORES = ["laser_score", "comet_qe"]
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest(table(spark, sf_dir, "fr_mos_combined", "pair_id", "source", *SCORES, "loaded_at"), "pair_id")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = kept_records(_scored(spark, sf_dir), table(spark, sf_dir, "keep_targets"), SCORES)
+    return kept.select("source", "score_name", "pair_id")
+
+
+def p2_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutoffs(_scored(spark, sf_dir), table(spark, sf_dir, "keep_targets"), SCORES)
+
+
+def _split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest(table(spark, sf_dir, "fr_mos_combined", "pair_id", "french", "moore", "split_name", "source", "loaded_at"), "pair_id")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_split_pairs(spark, _split_records(spark, sf_dir))
+
+
+def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _split_records(spark, sf_dir)
+    return overlap_report(cross_split_pairs(spark, records), records)
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +51,34 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_cutoffs": p2_cutoffs,
+    "p5_found": p5_found,
+    "p5_report": p5_report,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
 }
 
-SQL: dict[str, str] = {}
+_P2 = """
+WITH seen AS (SELECT * FROM fr_mos_combined QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY loaded_at DESC NULLS LAST) = 1),
+long AS (
+  SELECT pair_id, lower(trim(source)) AS key, 'laser_score' AS score_name, laser_score AS score FROM seen
+  UNION ALL SELECT pair_id, lower(trim(source)), 'comet_qe', comet_qe FROM seen),
+num AS (
+  SELECT t.source, t.score_name, t.keep_pct, pair_id, score
+  FROM (SELECT DISTINCT * FROM keep_targets) t JOIN long l ON l.key = lower(trim(t.source)) AND l.score_name = t.score_name
+  WHERE score IS NOT NULL AND NOT isnan(score)),
+ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY source, score_name, keep_pct ORDER BY score DESC) AS upto,
+         count(*) OVER (PARTITION BY source, score_name, keep_pct) AS total FROM num),
+cut AS (
+  SELECT source, score_name, keep_pct, max(score) AS cutoff, any_value(total) AS total FROM ranked
+  WHERE upto * 100 >= keep_pct * total GROUP BY ALL)
+"""
+
+SQL: dict[str, str] = {
+    "p2_found": _P2 + "SELECT n.source, n.score_name, n.pair_id FROM num n JOIN cut c USING (source, score_name, keep_pct) WHERE n.score >= c.cutoff",
+    "p2_cutoffs": _P2
+    + """SELECT c.source, c.score_name, c.keep_pct, c.cutoff, count(*) AS kept, any_value(c.total) AS total
+FROM cut c JOIN num n USING (source, score_name, keep_pct) WHERE n.score >= c.cutoff GROUP BY ALL""",
+}
