@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tandemtext.llm.cutoffs import cutoffs, kept_records
+from tandemtext.llm.langid import field_stretches, mislabelled
 from tandemtext.llm.leaks import leaked_items
 from tandemtext.llm.overlaps import cross_split_pairs, overlap_report
 from tandemtext.llm.tokenize import token_ids
@@ -29,6 +30,15 @@ def p2_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutoffs(_scored(spark, sf_dir), table(spark, sf_dir, "keep_targets"), SCORES)
 
 
+def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["pair_id", "french", "moore", "english", "french_glotlid_lang", "moore_glotlid_lang", "loaded_at"]
+    return field_stretches(spark, latest(table(spark, sf_dir, "aligned_pairs", *columns), "pair_id"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mislabelled(p4_segments(spark, sf_dir)).select("pair_id", "side", "lang")
+
+
 def _split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(table(spark, sf_dir, "fr_mos_combined", "pair_id", "french", "moore", "split_name", "source", "loaded_at"), "pair_id")
 
@@ -53,6 +63,8 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_cutoffs": p2_cutoffs,
+    "p4_found": p4_found,
+    "p4_segments": p4_segments,
     "p5_found": p5_found,
     "p5_report": p5_report,
     "p8_ids": p8_ids,
