@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tandemtext.llm.cutoffs import cutoffs, kept_records
 from tandemtext.llm.langid import field_stretches, mislabelled
 from tandemtext.llm.leaks import leaked_items
 from tandemtext.llm.overlaps import cross_split_pairs, overlap_report
+from tandemtext.llm.reading import DEMANDING, check_by_source, reading_levels
 from tandemtext.llm.tokenize import token_ids
 from tandemtext.session import latest, table
 
@@ -60,6 +62,20 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "test_items"))
 
 
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return reading_levels(spark, documents, table(spark, sf_dir, "reading_labels"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_levels(spark, sf_dir).where(F.col("grade") >= DEMANDING).select("doc_id")
+
+
+def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return check_by_source(spark, documents, table(spark, sf_dir, "reading_labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_cutoffs": p2_cutoffs,
@@ -69,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_report": p5_report,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_levels": p10_levels,
+    "p10_report": p10_report,
 }
 
 _P2 = """
