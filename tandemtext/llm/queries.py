@@ -12,6 +12,7 @@ from tandemtext.llm.langid import field_stretches, mislabelled
 from tandemtext.llm.leaks import leaked_items
 from tandemtext.llm.overlaps import cross_split_pairs, overlap_report
 from tandemtext.llm.reading import DEMANDING, check_by_source, reading_levels
+from tandemtext.llm.sentences import sentence_units
 from tandemtext.llm.tokenize import token_ids
 from tandemtext.session import latest, table
 
@@ -32,6 +33,11 @@ def p2_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutoffs(_scored(spark, sf_dir), table(spark, sf_dir, "keep_targets"), SCORES)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections = table(spark, sf_dir, "sections", "section_id", "body", "subsections", "loaded_at")
+    return sentence_units(spark, latest(sections, "section_id"))
+
+
 def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["pair_id", "french", "moore", "english", "french_glotlid_lang", "moore_glotlid_lang", "loaded_at"]
     return field_stretches(spark, latest(table(spark, sf_dir, "aligned_pairs", *columns), "pair_id"))
@@ -79,6 +85,7 @@ def p10_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_cutoffs": p2_cutoffs,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_segments": p4_segments,
     "p5_found": p5_found,
