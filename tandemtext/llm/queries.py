@@ -12,6 +12,7 @@ from tandemtext.llm.langid import field_stretches, mislabelled
 from tandemtext.llm.leaks import leaked_items
 from tandemtext.llm.overlaps import cross_split_pairs, overlap_report
 from tandemtext.llm.reading import DEMANDING, check_by_source, reading_levels
+from tandemtext.llm.scans import noisy_lines, repaired
 from tandemtext.llm.sentences import sentence_units
 from tandemtext.llm.tokenize import token_ids
 from tandemtext.session import latest, table
@@ -60,6 +61,20 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(cross_split_pairs(spark, records), records)
 
 
+def _scanned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sections = table(spark, sf_dir, "sections", "section_id", "chapter_id", "title", "subsections", "body", "raw_text", "loaded_at")
+    chapters = table(spark, sf_dir, "chapters", "chapter_id", "manual_title", "title", "raw_text", "loaded_at")
+    return latest(sections, "section_id"), latest(chapters, "chapter_id")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return noisy_lines(spark, *_scanned(spark, sf_dir))
+
+
+def p7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(spark, *_scanned(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -90,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_segments": p4_segments,
     "p5_found": p5_found,
     "p5_report": p5_report,
+    "p7_found": p7_found,
+    "p7_paragraphs": p7_paragraphs,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p10_found": p10_found,
