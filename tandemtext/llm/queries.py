@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tandemtext.llm.bitext import sentence_pairs
 from tandemtext.llm.cutoffs import cutoffs, kept_records
 from tandemtext.llm.langid import field_stretches, mislabelled
 from tandemtext.llm.leaks import leaked_items
@@ -61,6 +62,15 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(cross_split_pairs(spark, records), records)
 
 
+def p6_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "parallel_text", "pt_id", "french", "moore", "loaded_at")
+    return sentence_pairs(spark, latest(documents, "pt_id"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_pairs(spark, sf_dir).select("pt_id", "french_no", "moore_no")
+
+
 def _scanned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     sections = table(spark, sf_dir, "sections", "section_id", "chapter_id", "title", "subsections", "body", "raw_text", "loaded_at")
     chapters = table(spark, sf_dir, "chapters", "chapter_id", "manual_title", "title", "raw_text", "loaded_at")
@@ -105,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_segments": p4_segments,
     "p5_found": p5_found,
     "p5_report": p5_report,
+    "p6_found": p6_found,
+    "p6_pairs": p6_pairs,
     "p7_found": p7_found,
     "p7_paragraphs": p7_paragraphs,
     "p8_ids": p8_ids,
