@@ -187,11 +187,15 @@ def loose_pattern(phrase: str) -> str:
     return r"[\s-]+".join(re.escape(w) for w in phrase.split())
 
 
-@F.pandas_udf("string")
-def nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Composed Unicode form; there is no built-in for it."""
-    for batch in texts:
-        yield batch.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+def nfc(text: Column) -> Column:
+    """Composed Unicode form, in Arrow batches; there is no built-in for it."""
+
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield batch.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+    run.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, "string")(text)
 
 
 #: Letters with a mark that decomposition takes off, from the Latin blocks, by rule.

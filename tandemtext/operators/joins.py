@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -156,7 +156,11 @@ def regroup(parts: DataFrame, key: str, place: str, *values: str) -> DataFrame:
     """(key, values as arrays in order of place): scored parts back to their parent."""
     packed = F.array_sort(F.collect_list(F.struct(place, *values)))
     grouped = parts.groupBy(key).agg(packed.alias("__p"))
-    return grouped.select(key, *[F.transform("__p", lambda p, v=v: p[v]).alias(v) for v in values])
+
+    def field(name: str) -> Column:
+        return F.transform("__p", lambda p: p[name])
+
+    return grouped.select(key, *[field(v).alias(v) for v in values])
 
 
 def canonical_title(df: DataFrame, line: str, titles: Sequence[tuple[str, str]]) -> DataFrame:
@@ -173,11 +177,3 @@ def substitute_names(text: Column, names: dict[str, str]) -> Column:
     for name, mark in marks.items():
         text = F.replace(text, F.lit(mark), F.lit(names[name]))
     return text
-
-
-def batches_of(scores: Callable[[list[str]], list[float]]) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
-    def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in series:
-            yield pd.Series(scores(batch.fillna("").tolist()))
-
-    return run

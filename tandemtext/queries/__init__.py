@@ -7,7 +7,7 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-NAMES = ("packed",)
+NAMES = ("packed", "pairs", "documents")
 
 
 def modules() -> list[ModuleType]:
@@ -15,6 +15,6 @@ def modules() -> list[ModuleType]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tandemtext.queries.packed import p1_found
+    from tandemtext.queries.pairs import hard_filter_cascade
 
-    return p1_found(spark, sf_dir)
+    return hard_filter_cascade(spark, sf_dir)
