@@ -94,7 +94,7 @@ def chain_examples(pairs: Column) -> Column:
 
     def example(j: Column) -> Column:
         before, own = F.get(pairs, j - 1), F.get(pairs, j)
-        return F.struct(F.trim(F.regexp_extract(before["english"], r"\{e\.g\.\}\s*(.*)$", 1)).alias("moore"), own["french"].alias("french"), own["english"].alias("english"))
+        return F.struct(F.trim(F.regexp_extract(before["english"], r"(?s)\{e\.g\.\s*([^}]*)\}", 1)).alias("moore"), own["french"].alias("french"), own["english"].alias("english"))
 
     return F.when(F.size(pairs) > 1, F.transform(F.sequence(F.lit(1), F.size(pairs) - 1), example)).otherwise(F.array().cast("array<struct<moore:string,french:string,english:string>>"))
 

@@ -13,7 +13,6 @@ from tandemtext.operators import columns as C
 from tandemtext.operators import dedup, filters, report, split, wordlists
 from tandemtext.session import latest, table
 
-FR, MO = F.col("french"), F.col("moore")
 PAIR = ("pair_id", "french", "moore", "source", "loaded_at")
 
 
@@ -22,11 +21,11 @@ def _annotated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pair_len_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "fr_mos_combined", *PAIR).select("pair_id", T.length_ratio(FR, MO).alias("ratio"))
+    return table(spark, sf, "fr_mos_combined", *PAIR).select("pair_id", T.length_ratio(F.col("french"), F.col("moore")).alias("ratio"))
 
 
 def pair_quality_warnings(spark: SparkSession, sf: str) -> DataFrame:
-    return _annotated(spark, sf).select("pair_id", F.array_join("quality_warnings", ",").alias("warnings"), T.round4(Q.terminal_score(FR, MO)).alias("terminal"))
+    return _annotated(spark, sf).select("pair_id", F.array_join("quality_warnings", ",").alias("warnings"), T.round4(Q.terminal_score(F.col("french"), F.col("moore"))).alias("terminal"))
 
 
 def warning_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +85,7 @@ def lid_gate(spark: SparkSession, sf: str) -> DataFrame:
 def gated_score(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "aligned_pairs", "pair_id", "french", "moore", "moore_glotlid_lang", "moore_glotlid_prob", "identification_consistency")
     gate = filters.language_gate("moore_glotlid_prob", "identification_consistency", "moore_glotlid_lang")
-    out = filters.gate_then_score(df, gate, lambda d: d.withColumn("quality", T.length_ratio(FR, MO)), "quality")
+    out = filters.gate_then_score(df, gate, lambda d: d.withColumn("quality", T.length_ratio(F.col("french"), F.col("moore"))), "quality")
     return out.select("pair_id", "quality")
 
 
