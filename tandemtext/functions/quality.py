@@ -30,7 +30,7 @@ def has_emoji(target: Column) -> Column:
 def dotted(text: Column) -> Column:
     """Two dots or more at the start or among the last five characters."""
     t = strip(text_of(text))
-    return t.rlike(r"^\.{2,}") | F.right(t, F.lit(5)).rlike(r"\.{2,}")
+    return t.startswith("..") | F.right(t, F.lit(5)).contains("..")
 
 
 def dots_asymmetry(source: Column, target: Column) -> Column:
@@ -95,17 +95,15 @@ def warnings(source: Column, target: Column, foreign: Column | None = None) -> C
     return F.array_compact(F.array(*[F.when(check, F.lit(label)) for check, label in zip(checks, LABELS)]))
 
 
-def with_consistency(df: DataFrame, text: str, foreign: DataFrame, key: str, name: str = "identification_consistency", flag: str = "foreign_words", limit: int = 50_000) -> DataFrame:
+def with_consistency(df: DataFrame, text: str, foreign: DataFrame, key: str, name: str = "identification_consistency", flag: str = "foreign_words") -> DataFrame:
     """``df`` with the consistency score and a foreign-word flag, against a word list of any size.
 
     ``foreign`` has one column ``word``. The distinct words of each row meet
-    the list in an equi-join on the word (broadcast only where the list has at
-    most ``limit`` words) and go back to their row by a count; rows without
-    countable words get 0.0 and false. ``key`` is unique in ``df``.
+    the list in an equi-join on the word (adaptive execution broadcasts the list
+    where its measured size allows) and go back to their row by a count; rows
+    without countable words get 0.0 and false. ``key`` is unique in ``df``.
     """
     listed = foreign.select(F.col("word").alias("__w")).where("__w is not null").distinct()
-    if foreign.count() <= limit:
-        listed = F.broadcast(listed)
     words = df.select(F.col(key).alias("__k"), F.explode(counted_words(F.col(text))).alias("__w"))
     marked = words.join(listed.withColumn("__f", F.lit(1)), "__w", "left")
     scored = marked.groupBy("__k").agg(F.count("*").alias("__n"), F.count("__f").alias("__m"))

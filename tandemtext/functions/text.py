@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: White space of Unicode, as a Java class.
 SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}]"
+BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Quotes, dashes and blanks with a plain one-character form.
 PLAIN_FORMS = {"‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"', "‟": '"', "–": "-", "—": "-", "―": "-", "‐": "-", "‑": "-", " ": " ", " ": " "}
 #: Ligatures that stand for two or three letters.
@@ -24,8 +25,8 @@ URL = r"(?i)https?://|www\."
 
 
 def strip(text: Column) -> Column:
-    """Without white space of any kind at the ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space of any kind at the ends; a set of characters trims far faster than a pattern."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_blank(text: Column) -> Column:

@@ -31,14 +31,17 @@ def components(df: DataFrame, key: str, links: Sequence[str], most_rounds: int =
     Rows are joined through the values (a star, never all pairs of a value).
     Each round sends a value the least label of its rows (a pre-aggregated
     minimum) and every row the least of its values' labels, then jumps to the
-    label of its label; long chains so halve. Labels are checkpointed each round.
+    label of its label; long chains so halve. Labels are checkpointed each
+    round. Only rows that share a value take part; the others are their own component.
     """
     edges = None
     for n, column in enumerate(links):
         part = df.where(F.col(column).isNotNull()).select(F.col(key).alias("id"), F.concat(F.lit(f"{n}:"), F.col(column).cast("string")).alias("value"))
         edges = part if edges is None else edges.union(part)
-    edges = cut_lineage(edges.distinct())
-    labels = cut_lineage(df.select(F.col(key).alias("id"), F.col(key).alias("label")).distinct())
+    edges = edges.distinct()
+    shared = edges.groupBy("value").count().where("count > 1").select("value")
+    edges = cut_lineage(edges.join(shared, "value", "left_semi"))  # a value of one row links nothing
+    labels = cut_lineage(edges.select("id", F.col("id").alias("label")).distinct())
     for _ in range(most_rounds):
         least = edges.join(labels, "id").groupBy("value").agg(F.min("label").alias("m"))
         seen = edges.join(least, "value").groupBy("id").agg(F.min("m").alias("m"))
@@ -46,7 +49,8 @@ def components(df: DataFrame, key: str, links: Sequence[str], most_rounds: int =
         jump = stepped.select(F.col("id").alias("m"), F.col("m").alias("j"))
         new = cut_lineage(stepped.join(jump, "m", "left").select("id", F.col("label").alias("old"), F.least("m", F.coalesce("j", "m")).alias("label")))
         if new.where("old <> label").isEmpty():
-            return df.join(new.select(F.col("id").alias(key), F.col("label").alias("component")), key, "left")
+            found = new.select(F.col("id").alias(key), F.col("label").alias("component"))
+            return df.join(found, key, "left").withColumn("component", F.coalesce("component", F.col(key)))
         labels = new.select("id", "label")
     raise RuntimeError(f"no fixpoint after {most_rounds} rounds")
 

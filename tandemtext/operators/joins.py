@@ -11,20 +11,12 @@ from pyspark.sql import functions as F
 
 from tandemtext.functions.text import fold_key
 
-#: Lookup sides of up to so many rows are broadcast, after counting.
-BROADCAST_ROWS = 100_000
-
-
-def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``most`` rows; else leave the choice to the planner."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def prioritised_lookup(probe: DataFrame, build: DataFrame, passes: Sequence[tuple[Column, Column]], payload: Sequence[str], order: str) -> DataFrame:
     """Inner join by several keys in order of priority: the first key that finds a row wins.
 
     ``passes`` are (probe key, build key) pairs. Blank keys find nothing. Of
-    build rows with one key the last by ``order`` counts. Adds ``payload`` and
+    build rows with one key the last by ``order`` counts. Lookup sides are not
+    hinted: adaptive execution broadcasts them where their measured size allows. Adds ``payload`` and
     ``match_pass`` (1-based); probe rows without a match are dropped.
     """
     out = probe
@@ -32,7 +24,7 @@ def prioritised_lookup(probe: DataFrame, build: DataFrame, passes: Sequence[tupl
         last = Window.partitionBy("__k").orderBy(F.desc(order))
         side = build.select(build_key.alias("__k"), order, *payload).where("__k is not null and __k <> ''")
         side = side.withColumn("__r", F.row_number().over(last)).where("__r = 1").select(F.col("__k").alias(f"__k{n}"), F.struct(*payload).alias(f"__hit{n}"))
-        out = out.withColumn(f"__p{n}", probe_key).join(bounded(side), F.col(f"__p{n}") == F.col(f"__k{n}"), "left").drop(f"__k{n}", f"__p{n}")
+        out = out.withColumn(f"__p{n}", probe_key).join(side, F.col(f"__p{n}") == F.col(f"__k{n}"), "left").drop(f"__k{n}", f"__p{n}")
     hits = [F.col(f"__hit{n}") for n in range(1, len(passes) + 1)]
     out = out.withColumns({"__hit": F.coalesce(*hits), "match_pass": F.coalesce(*[F.when(h.isNotNull(), F.lit(n)) for n, h in enumerate(hits, 1)])}).where("__hit is not null")
     return out.select(*probe.columns, *[F.col(f"__hit.{c}").alias(c) for c in payload], "match_pass")
@@ -72,13 +64,13 @@ def equal_lengths(df: DataFrame, arrays: Sequence[str]) -> DataFrame:
 
 def semi_words(df: DataFrame, words: Column, listed: DataFrame, key: str) -> DataFrame:
     """Rows of which any word is listed."""
-    hits = df.select(key, F.explode(words).alias("word")).join(bounded(listed.select("word").distinct()), "word", "left_semi").select(key).distinct()
+    hits = df.select(key, F.explode(words).alias("word")).join(listed.select("word").distinct(), "word", "left_semi").select(key).distinct()
     return df.join(hits, key, "left_semi")
 
 
 def unlisted_count(df: DataFrame, words: Column, listed: DataFrame, key: str) -> DataFrame:
     """(key, unlisted): distinct words of each row that are not listed; 0 where all are."""
-    rest = df.select(key, F.explode(words).alias("word")).distinct().join(bounded(listed.select("word").distinct()), "word", "left_anti")
+    rest = df.select(key, F.explode(words).alias("word")).distinct().join(listed.select("word").distinct(), "word", "left_anti")
     counts = rest.groupBy(key).agg(F.count("*").alias("unlisted"))
     return df.select(key).join(counts, key, "left").fillna(0, ["unlisted"])
 
