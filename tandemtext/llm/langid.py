@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tandemtext.llm.text import composed, plain_word
@@ -165,18 +165,18 @@ def labelled(pairs: DataFrame, key: str = "pair_id", sample: int = SAMPLE) -> li
 
     English comes from the english column as well, which has no label column.
     The sample is the first rows by a hash of the key: it is the same on every
-    run and needs no shuffle of the table (each task keeps ``sample`` rows).
+    run, and each task keeps ``sample`` rows of a kind before the shuffle.
     """
-    fields = [("french", "french_glotlid_lang"), ("moore", "moore_glotlid_lang"), ("english", None)]
-    rows: list[tuple[str, str]] = []
-    for column, label in fields:
-        for lang in LANGUAGES:
-            if label is None and lang != "eng_Latn":
-                continue
-            named = F.lit(True) if label is None else canonical(F.col(label)) == lang
-            part = pairs.where(named & F.col(column).isNotNull()).select(column, F.xxhash64(key, F.lit(column)).alias("h"))
-            rows += [(r[0], lang) for r in part.orderBy("h", column).limit(sample).collect()]
-    return rows
+    fields = F.array(
+        F.struct(F.lit("french").alias("column"), F.col("french").alias("text"), canonical(F.col("french_glotlid_lang")).alias("lang")),
+        F.struct(F.lit("moore").alias("column"), F.col("moore").alias("text"), canonical(F.col("moore_glotlid_lang")).alias("lang")),
+        F.struct(F.lit("english").alias("column"), F.col("english").alias("text"), F.lit("eng_Latn").alias("lang")),
+    )
+    long = pairs.select(F.col(key).alias("k"), F.explode(fields).alias("f")).select("f.*", F.xxhash64("k", "f.column").alias("h"))
+    usable = long.where(F.col("text").isNotNull() & F.col("lang").isin(*LANGUAGES))
+    rank = F.row_number().over(Window.partitionBy("column", "lang").orderBy("h", "text"))
+    chosen = usable.withColumn("r", rank).where(F.col("r") <= sample)
+    return [(r[0], r[1]) for r in chosen.select("text", "lang").collect()]
 
 
 def purified(rows: list[tuple[str, str]]) -> list[tuple[str, str]]:
