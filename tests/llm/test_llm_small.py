@@ -303,7 +303,7 @@ def test_leaks_with_planted_passages(spark):
         n = int(len(tokens) * share)
         start = rng.randrange(len(tokens) - n + 1)
         part = tokens[start : start + n]
-        part = [w + "x" if rng.random() < 0.04 else w for w in part]
+        part = [w + "x" if rng.random() < 0.04 and 0 < i < len(part) - 1 else w for i, w in enumerate(part)]
         if rng.random() < 0.5 and len(part) > 4:
             part.insert(len(part) // 2, "zz")
         at = rng.randrange(len(body))
@@ -326,7 +326,7 @@ def test_tiles_are_maximal_and_disjoint():
         found = leaks.tiles(a, b)
         assert all((a[i : i + k] == b[j : j + k]).all() and k >= leaks.TILE for i, j, k in found)
         assert len({x for i, _, k in found for x in range(i, i + k)}) == sum(k for *_, k in found)
-        assert leaks.held(a, b) <= leaks._bound(a, b) or not found
+        assert leaks.held(a, b).sum() <= leaks._bound(a, b)
 
 
 # --- reading --------------------------------------------------------------------------------------------------------
@@ -339,7 +339,7 @@ def test_grades_of_held_out_texts(spark):
     def text(grade):
         return ". ".join(" ".join(rng.choice(hard if rng.random() < grade / 6 else easy) for _ in range(4 + 3 * grade)) for _ in range(6)) + "."
 
-    rows = [(i, text(g), f"s{i % 5}", g) for i in range(300) for g in [1 + i % 5]]
+    rows = [(i, text(g), f"s{i % 7}", g) for i in range(300) for g in [1 + i % 5]]
     documents = spark.createDataFrame([r[:3] for r in rows] + [(900, None, "s"), (901, " 12 ", "s"), (902, "", None)], "doc_id bigint, text string, source string")
     labels = spark.createDataFrame([(i, g if i % 50 else None) for i, _, _, g in rows[:200]] + [(999, 3)], "doc_id bigint, grade int")
     got = {r.doc_id: r.grade for r in reading.reading_levels(spark, documents, labels).collect()}
@@ -347,7 +347,7 @@ def test_grades_of_held_out_texts(spark):
     errors = [abs(got[i] - g) for i, _, _, g in rows[200:]]
     assert np.mean(errors) < 0.6
     by_source = reading.check_by_source(spark, documents, labels).collect()
-    assert len(by_source) == 5 and all(r.mean_error < 0.8 for r in by_source)
+    assert len(by_source) == 7 and all(r.mean_error < 0.8 for r in by_source)
     few = reading.reading_levels(spark, documents, labels.limit(5)).where(F.col("grade").isNotNull())
     assert few.select("grade").distinct().count() == 1
 
