@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tandemtext.functions.text import BLANKS
+
 #: Separators between values, and the private characters that stand for them inside literals.
 SEPARATORS = ",;|•·\t\n/"
 MASKS = "".join(chr(0xE100 + i) for i in range(len(SEPARATORS)))
@@ -18,12 +20,12 @@ SPLIT = r'[,;|•·\t\n]|(?<=[\s"”»)]|^)/|/(?=[\s"“«]|$)'
 NUMBERED = r"^\s*\(?1[.)]\s"
 NUMBER_GAP = r"\s+(?=\(?\d{1,2}[.)]\s)"
 PLACEHOLDERS = ("", "-", "--", "—", "–", "?", "n/a", "N/A", "null", "None")
-#: White space, Unicode spaces included.
-EDGE = r"^[\s  -​ 　]+|[\s  -​ 　]+$"
+#: What a field without any of these signs holds is one value, or a sentence.
+MARKED = rf"[{SEPARATORS}\"“”«».!?…]|^\s*\(?1[.)]"
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, EDGE, "")
+    return F.btrim(text, F.lit(BLANKS + "\u200b"))
 
 
 def is_sentence(text: Column) -> Column:
@@ -33,11 +35,11 @@ def is_sentence(text: Column) -> Column:
 
 
 def _protect(text: Column) -> Column:
-    """Mask separators in parentheses, decimal commas, and slashes inside words."""
+    """Mask separators in parentheses and decimal commas. Texts without a parenthesis skip the patterns for them."""
+    inside = text
     for sep, mask in zip(SEPARATORS, MASKS):
-        text = F.regexp_replace(text, rf"[{sep}](?=[^()]*\))", mask)
-    text = F.regexp_replace(text, r"(?<=\d),(?=\d)", MASKS[0])
-    return text
+        inside = F.regexp_replace(inside, rf"[{sep}](?=[^()]*\))", mask)
+    return F.regexp_replace(F.when(text.contains(")"), inside).otherwise(text), r"(?<=\d),(?=\d)", MASKS[0])
 
 
 def split_values(text: Column) -> Column:
@@ -74,7 +76,8 @@ def split_values(text: Column) -> Column:
         return F.when(straight | curly, trimmed(F.replace(inner, F.lit('""'), F.lit('"')))).otherwise(v)
 
     values = F.filter(F.transform(raw, clean), lambda v: ~v.isin(*PLACEHOLDERS))
-    return F.when(text.isNull() | is_sentence(text), empty).otherwise(values)
+    single = F.filter(F.array(trimmed(text)), lambda v: ~v.isin(*PLACEHOLDERS))
+    return F.when(text.isNull(), empty).when(~text.rlike(MARKED), single).when(is_sentence(text), empty).otherwise(values)
 
 
 def unpack_fields(df: DataFrame, key: str, fields: list[str], keep: int = 1) -> DataFrame:

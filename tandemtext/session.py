@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -58,12 +58,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame, rows_hint: Column | None = None) -> DataFrame:
-    """Repartition a scan of few splits before a CPU-bound Python stage.
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition before a CPU-bound Python stage.
 
-    Large inputs already have more splits than cores and stay as they are.
+    Adaptive execution sizes partitions by bytes, so a few megabytes of long
+    texts would run on one core. The number follows the session's shuffle
+    partitions, twice the cores at least.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= 4 * cores:
-        return df
-    return df.repartition(4 * cores) if rows_hint is None else df.repartition(4 * cores, rows_hint)
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
