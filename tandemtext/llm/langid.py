@@ -24,6 +24,8 @@ SPACE = 1 << 18
 SIZES = (1, 2, 3, 4, 5)
 #: Labelled fields of one language the classifier is fitted on (a bounded sample, by hash order of the key).
 SAMPLE = 6000
+#: Parts into which a kind of field is cut by hash to draw its sample, so that no task sees all of a kind.
+SALTS = 64
 #: A word speaks for a language by at most so many nats; a change of language costs so many.
 WORD_CAP = 4.0
 CHANGE = 9.0
@@ -165,7 +167,8 @@ def labelled(pairs: DataFrame, key: str = "pair_id", sample: int = SAMPLE) -> li
 
     English comes from the english column as well, which has no label column.
     The sample is the first rows by a hash of the key: it is the same on every
-    run, and each task keeps ``sample`` rows of a kind before the shuffle.
+    run; each of SALTS parts of a kind gives its share, and each task keeps no
+    more than that share before the shuffle.
     """
     fields = F.array(
         F.struct(F.lit("french").alias("column"), F.col("french").alias("text"), canonical(F.col("french_glotlid_lang")).alias("lang")),
@@ -174,8 +177,8 @@ def labelled(pairs: DataFrame, key: str = "pair_id", sample: int = SAMPLE) -> li
     )
     long = pairs.select(F.col(key).alias("k"), F.explode(fields).alias("f")).select("f.*", F.xxhash64("k", "f.column").alias("h"))
     usable = long.where(F.col("text").isNotNull() & F.col("lang").isin(*LANGUAGES))
-    rank = F.row_number().over(Window.partitionBy("column", "lang").orderBy("h", "text"))
-    chosen = usable.withColumn("r", rank).where(F.col("r") <= sample)
+    rank = F.row_number().over(Window.partitionBy("column", "lang", F.pmod("h", F.lit(SALTS))).orderBy("h", "text"))
+    chosen = usable.withColumn("r", rank).where(F.col("r") <= -(-sample // SALTS))
     return [(r[0], r[1]) for r in chosen.select("text", "lang").collect()]
 
 
