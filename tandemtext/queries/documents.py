@@ -187,7 +187,15 @@ def _proverb(c: str) -> str:
     return rf"regexp_replace({out}, '(^|[^.])\.\.([^.]|$)', '\1.\2', 'g')"
 
 
+_MARKS = "('\"', '«', '»')"
+
 SQL: dict[str, str] = {
+    "sentence_split": rf"""WITH d AS (SELECT doc_id, string_split(regexp_replace({_strip(f"regexp_replace(coalesce(text,''), '{_S}+', ' ', 'g')")}, '([.!?]["»”]?)\s+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
+k AS (SELECT doc_id, list_transform(parts, lambda p: regexp_extract_all(p, '["«»]|[^"«»]+')) AS toks FROM d),
+m AS (SELECT doc_id, flatten(list_transform(toks, lambda t: string_split(array_to_string(list_transform(t, lambda x, i:
+  CASE WHEN x IN {_MARKS} OR len(list_filter(t[1:i-1], lambda u: u IN {_MARKS})) % 2 = 1 THEN x ELSE replace(x, ';', chr(1)) END), ''), chr(1)))) AS s FROM k),
+f AS (SELECT doc_id, list_filter(list_transform(s, lambda x: {_strip("x")}), lambda x: x <> '') AS s FROM m)
+SELECT doc_id, (generate_subscripts(s, 1) - 1)::INTEGER AS pos, unnest(s) AS sentence FROM f""",
     "lines_joined": rf"""SELECT chapter_id, epoch_us(loaded_at) AS at, {_strip(f"regexp_replace(raw_text, '{_S}+', ' ', 'g')")} AS squeezed,
   regexp_replace(raw_text, '(?i)\([^)]*\bp\.?\s*\d+\)', '', 'g') AS unreferenced, {_LIG} AS expanded FROM chapters WHERE raw_text IS NOT NULL""",
     "french_normalized": rf"""SELECT pair_id, {_strip(r"regexp_replace(regexp_replace(regexp_replace(translate(french, '“”', '" + '""' + r"'), '\s+([!?:;».,])', '\1', 'g'), '«\s+', '«', 'g'), ' {2,}', ' ', 'g')")} AS french,
