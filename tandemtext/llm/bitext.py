@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandemtext.llm.text import words
-from tandemtext.session import cut_lineage
+from tandemtext.session import cut_lineage, spread
 
 #: Dimensions of the word vectors.
 DIM = 192
@@ -82,12 +82,14 @@ def word_sums(documents: DataFrame, key: str = "pt_id") -> DataFrame:
                 sums = {}
         yield rows(sums)
 
-    def add(batch: pd.DataFrame) -> pd.DataFrame:
-        vector = np.sum([np.frombuffer(v, np.float32) for v in batch["vector"]], axis=0, dtype=np.float64)
-        first = batch.iloc[0]
-        return pd.DataFrame([(first["side"], first["word"], int(batch["documents"].sum()), int(batch["sentences"].sum()), vector.astype(np.float32).tobytes())], columns=batch.columns)
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["vector"] = [np.sum([np.frombuffer(v, np.float32) for v in vs], axis=0, dtype=np.float64).astype(np.float32).tobytes() for vs in batch["vector"]]
+            yield batch
 
-    return documents.select(key, *SIDES).mapInPandas(run, schema).groupBy("side", "word").applyInPandas(add, schema)
+    partial = documents.select(key, *SIDES).mapInPandas(run, schema)
+    whole = partial.groupBy("side", "word").agg(F.sum("documents").alias("documents"), F.sum("sentences").alias("sentences"), F.collect_list("vector").alias("vector"))
+    return whole.mapInPandas(add, schema)
 
 
 class Vectors:
@@ -260,4 +262,4 @@ def sentence_pairs(spark: SparkSession, documents: DataFrame, key: str = "pt_id"
             out = [(k, *link) for k, f, m in zip(batch[key], batch["french"], batch["moore"]) for link in align(shared.value, f, m)]
             yield pd.DataFrame(out, columns=[key, "french_no", "moore_no", "score"])
 
-    return documents.select(key, *SIDES).mapInPandas(run, schema)
+    return spread(documents.select(key, *SIDES)).mapInPandas(run, schema)
