@@ -7,7 +7,7 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-NAMES = ("packed", "pairs", "documents")
+NAMES = ("packed", "pairs", "documents", "folds")
 
 
 def modules() -> list[ModuleType]:
