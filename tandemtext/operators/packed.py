@@ -35,11 +35,10 @@ def is_sentence(text: Column) -> Column:
 
 
 def _protect(text: Column) -> Column:
-    """Mask separators in parentheses and decimal commas. Texts without a parenthesis skip the patterns for them."""
-    inside = text
-    for sep, mask in zip(SEPARATORS, MASKS):
-        inside = F.regexp_replace(inside, rf"[{sep}](?=[^()]*\))", mask)
-    return F.regexp_replace(F.when(text.contains(")"), inside).otherwise(text), r"(?<=\d),(?=\d)", MASKS[0])
+    """Mask separators in parentheses and decimal commas. Texts without a parenthesis skip the fold for them."""
+    pieces = F.regexp_extract_all(text, F.lit(r"\([^()]*\)|[^()]+|[()]"), F.lit(0))
+    inside = F.transform(pieces, lambda p: F.when(p.rlike(r"(?s)^\(.*\)$"), F.translate(p, SEPARATORS, MASKS)).otherwise(p))
+    return F.regexp_replace(F.when(text.contains("("), F.array_join(inside, "")).otherwise(text), r"(?<=\d),(?=\d)", MASKS[0])
 
 
 def split_values(text: Column) -> Column:

@@ -25,6 +25,7 @@ C = F.col("t")
         ("1) la cour (graine, le karité) 2) \"père, sel\"", ["la cour (graine, le karité)", "père, sel"]),
         ("(1) x\n(2) y", ["x", "y"]),
         ("1. garder, 2. «sel, puits»", ["garder", "sel, puits"]),
+        ("1) tãbo; 2) pɛla (a; b); 3) x", ["tãbo", "pɛla (a; b)", "x"]),
         ("• grenier •femme", ["grenier", "femme"]),
         ("nommer et/ou", ["nommer et/ou"]),
         ("a / b/ c", ["a", "b", "c"]),
