@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandemtext.llm.text import words
+from tandemtext.session import cut_lineage
 
 #: One word in so many may differ.
 EVERY = 5
@@ -168,7 +169,7 @@ def cross_split_pairs(
     records without a split form no pair; repeated rows should have been
     reduced to one per key.
     """
-    plain = classes(records, key, texts, split)
+    plain = cut_lineage(classes(records, key, texts, split))  # read four times below
     kinds = plain.groupBy("class", "first", "second").agg(
         F.max((F.col(split) == train).cast("int")).alias("in_train"), F.max((F.col(split) != train).cast("int")).alias("in_eval")
     )
