@@ -242,13 +242,14 @@ def align(vectors: Vectors, french: list[str | None] | None, moore: list[str | N
 def sentence_pairs(spark: SparkSession, documents: DataFrame, key: str = "pt_id") -> DataFrame:
     """(key, french_no, moore_no, score): translated elements of each document, 0-based places in the arrays as stored.
 
-    ``documents`` has one row per key. Two passes: the first sums the word
+    ``documents`` has one row per key; rows without one are left out. Two passes: the first sums the word
     vectors over all documents (pre-aggregated, one small shuffle), the second
     aligns each document by itself. Null arrays and null, blank or stray
     elements have no counterpart; the vectors of the most frequent VOCABULARY
     words a side (at most 100 MB) are broadcast, rarer words count when both
     sides spell them alike.
     """
+    documents = documents.where(F.col(key).isNotNull())
     sums = cut_lineage(word_sums(documents, key))
     rows = [tuple(r) for r in sums.where("side = '' or word = ''").collect()]
     for side in SIDES:

@@ -198,8 +198,8 @@ def field_stretches(spark: SparkSession, pairs: DataFrame, key: str = "pair_id",
 
     The model (one float matrix of fixed size, 3 MB) is fitted on a bounded
     sample of labelled fields and broadcast; every field is scored whole, in
-    Arrow batches, without a shuffle. Null fields and fields without words
-    give no row.
+    Arrow batches, without a shuffle. Null fields, fields without words
+    and rows without a key give no row.
     """
     rows = labelled(pairs, key, sample)
     shared = spark.sparkContext.broadcast(fit(purified(rows)))
@@ -217,7 +217,7 @@ def field_stretches(spark: SparkSession, pairs: DataFrame, key: str = "pair_id",
             yield pd.DataFrame(out, columns=[key, "side", "label", "segment_no", "lang", "start_at", "end_at", "confidence"])
 
     columns = [key, "french", canonical(F.col("french_glotlid_lang")).alias("a"), "moore", canonical(F.col("moore_glotlid_lang")).alias("b")]
-    return pairs.select(*columns).mapInPandas(run, schema)
+    return pairs.where(F.col(key).isNotNull()).select(*columns).mapInPandas(run, schema)
 
 
 def mislabelled(stretches_: DataFrame, key: str = "pair_id") -> DataFrame:

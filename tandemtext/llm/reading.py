@@ -272,7 +272,7 @@ def reading_levels(spark: SparkSession, documents: DataFrame, labels: DataFrame,
     The model is fitted on the driver from at most ``sample`` graded texts
     (their number is the bound of what is collected and broadcast) and applied
     to every whole text in one narrow pass. Repeated rows are graded each; with
-    fewer than 40 graded texts every text gets their mean.
+    fewer than 40 graded texts every text gets their mean. Rows without an id are left out.
     """
     shared = spark.sparkContext.broadcast(Grader(labelled(documents, labels, sample)))
 
@@ -281,7 +281,7 @@ def reading_levels(spark: SparkSession, documents: DataFrame, labels: DataFrame,
             grades = shared.value.grades(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "grade": pd.array(grades, dtype="Float64")})
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id bigint, grade double")
+    return documents.select("doc_id", "text").where("doc_id is not null").mapInPandas(run, "doc_id bigint, grade double")
 
 
 def check_by_source(spark: SparkSession, documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -106,7 +106,7 @@ def test_units_cover_every_character_once():
 
 def test_sentence_rows(spark):
     sub = "array<struct<title:string,items:array<struct<num:int,text:string>>,bullet_items:array<struct<text:string>>,body:string>>"
-    df = spark.createDataFrame([(1, "Un. Deux.", [("t", [], [], None), ("t", [], [], "Trois.")]), (2, None, None), (3, " ", [])], f"section_id bigint, body string, subsections {sub}")
+    df = spark.createDataFrame([(1, "Un. Deux.", [("t", [], [], None), ("t", [], [], "Trois.")]), (2, None, None), (3, " ", []), (None, "Un.", [])], f"section_id bigint, body string, subsections {sub}")
     rows = sorted(tuple(r) for r in sentences.sentence_units(spark, df).collect())
     assert rows == [(1, 0, 0, 3), (1, 0, 4, 9), (1, 2, 0, 6)]
     assert sentences.sentence_units(spark, df.limit(0)).count() == 0
@@ -233,7 +233,7 @@ def test_alignment_of_an_invented_language(spark):
             links += [(doc, i, j) for i in sources]
         truth |= set(links)
         rows.append((doc, [" ".join(s).capitalize() + "." for s in french] + ["44"], [None if t is None else " ".join(t) for t, _ in moore] + ["44"]))
-    rows += [(900, None, ["a b c"]), (901, [], []), (902, ["", None], [" "])]
+    rows += [(900, None, ["a b c"]), (901, [], []), (902, ["", None], [" "]), (None, ["chat noir du roi"], ["chat noir du roi"])]
     df = spark.createDataFrame(rows, "pt_id bigint, french array<string>, moore array<string>")
     got = {(r.pt_id, r.french_no, r.moore_no) for r in bitext.sentence_pairs(spark, df).collect()}
     assert len(got & truth) / len(truth) > 0.9 and len(got & truth) / len(got) > 0.9
@@ -310,7 +310,7 @@ def test_leaks_with_planted_passages(spark):
         docs.append((d, " ".join(body[:at]) + ".\n" + " ".join(part).upper() + ", " + " ".join(body[at:]), "x"))
         if share > 0.5:
             truth.add((d, k))
-    docs += [(900, None, "x"), (901, "", "x")]
+    docs += [(900, None, "x"), (901, "", "x"), (None, items[0][1], "x")]
     documents = spark.createDataFrame(docs, "doc_id bigint, text string, item_id string")
     held_out = spark.createDataFrame(items + [(30, None, " ")], "item_id bigint, french string, moore string")
     for block in (7, 1000):
@@ -340,7 +340,7 @@ def test_grades_of_held_out_texts(spark):
         return ". ".join(" ".join(rng.choice(hard if rng.random() < grade / 6 else easy) for _ in range(4 + 3 * grade)) for _ in range(6)) + "."
 
     rows = [(i, text(g), f"s{i % 7}", g) for i in range(300) for g in [1 + i % 5]]
-    documents = spark.createDataFrame([r[:3] for r in rows] + [(900, None, "s"), (901, " 12 ", "s"), (902, "", None)], "doc_id bigint, text string, source string")
+    documents = spark.createDataFrame([r[:3] for r in rows] + [(900, None, "s"), (901, " 12 ", "s"), (902, "", None), (None, "chat", "s")], "doc_id bigint, text string, source string")
     labels = spark.createDataFrame([(i, g if i % 50 else None) for i, _, _, g in rows[:200]] + [(999, 3)], "doc_id bigint, grade int")
     got = {r.doc_id: r.grade for r in reading.reading_levels(spark, documents, labels).collect()}
     assert got[900] is None and got[901] is None and got[902] is None
