@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from functools import cached_property
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +28,15 @@ FINAL_PARTICLES = "了吧吗呢啊呀嘛的。ครับค่ะ"
 OPENING_WORDS = ("昨天", "今天", "明天", "去年", "今年", "明年", "每", "但是", "因为", "所以", "如果", "虽然", "然后", "后来", "我们", "他们", "她", "他", "我", "你", "这", "那")
 #: Opening words learned from a corpus: least occurrences and most entries (a documented bound).
 LEARNED_LEAST, LEARNED_MOST = 3, 5000
+#: Words of the lattice: most characters and most entries (a documented bound), characters looked at beside a gap.
+WORD_MOST, DICTIONARY_MOST, WINDOW = 5, 200_000, 24
+#: Partial counts a worker holds before it hands them on.
+HELD_COUNTS = 200_000
 
 SPACELESS = r"぀-ヿ㐀-䶿一-鿿฀-๿຀-໿က-႟ក-៿"
 _SPACELESS = re.compile(f"[{SPACELESS}]")
+_RUN = re.compile(f"[{SPACELESS}]+")
+_HEAD = re.compile(rf"(?:^|[。！？]|[」”])\s*([{SPACELESS}]+)")
 _DEVANAGARI = re.compile("[ऀ-ॿ]")
 BLANK_LINE = re.compile(r"\n[^\S\n]*\n\s*")
 MARK = re.compile(rf"[{WEAK}{STRONG}]+|[«»“”\"()\[\]「」『』（）„]")
@@ -85,19 +95,47 @@ def _abbreviation(text: str, start: int, dot: int, after: int, end: int) -> bool
     return bool(token and len(token) <= 4 and _DEVANAGARI.search(token))
 
 
-def _opens(text: str, at: int, openers: frozenset[str]) -> bool:
-    """Whether a word that opens sentences begins at ``at``: the longest dictionary word decides."""
-    return any(text[at : at + n] in openers for n in (5, 4, 3, 2, 1))
-
-
-def _gap(text: str, at: int, before: str, openers: frozenset[str]) -> bool:
+@dataclass(frozen=True)
+class Lattice:
+    """Dictionary of spaceless scripts: the worth of each word a character, and the words that open sentences."""
+
+    worth: dict[str, float] = field(default_factory=dict)
+    openers: frozenset[str] = frozenset(OPENING_WORDS)
+
+    @cached_property
+    def edges(self) -> dict[str, float]:
+        """Worth of every word; listed opening words that the corpus does not hold count as words too."""
+        return {**{w: 1.0 for w in OPENING_WORDS if len(w) > 1}, **self.worth}
+
+    def path(self, run: str) -> list[str]:
+        """Words of the best path: every dictionary word is an edge as worthy as its characters together; single characters always are."""
+        n = len(run)
+        best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
+        for i in range(n):
+            for j in range(i + 1, min(n, i + WORD_MOST) + 1):
+                worth = self.edges.get(run[i:j], 0.0 if j == i + 1 else None)
+                if worth is not None and best[i] + worth * (j - i) > best[j]:
+                    best[j], back[j] = best[i] + worth * (j - i), i
+        out: list[str] = []
+        while n:
+            out.append(run[back[n] : n])
+            n = back[n]
+        return out[::-1]
+
+    def first(self, text: str, at: int) -> str:
+        """First word of the best path over the run that begins at ``at``."""
+        run = _RUN.match(text, at, at + WINDOW)
+        return self.path(run.group())[0] if run else ""
+
+
+def _gap(text: str, at: int, before: str, lattice: Lattice) -> bool:
     """Class of an ambiguous gap in a spaceless script: opening word after it, or final particle before it."""
-    if _opens(text, at, openers):
+    if lattice.first(text, at) in lattice.openers:
         return True
     return before in FINAL_PARTICLES or text[at] in QUOTES or text[at].isdigit()
 
 
-def units(text: str | None, openers: frozenset[str] = frozenset(OPENING_WORDS)) -> list[tuple[int, int]]:
+def units(text: str | None, lattice: Lattice = Lattice()) -> list[tuple[int, int]]:
     """(start, end) offsets of the sentence units of a text; null and blank texts have none.
 
     Blank lines end units. Within a paragraph each terminator outside quotes
@@ -106,7 +144,8 @@ def units(text: str | None, openers: frozenset[str] = frozenset(OPENING_WORDS))
     mark or ellipsis ends one where the next thing can begin a sentence and no
     abbreviation, initial, number or address claims the stop. A quotation that
     ends in a terminator closes its sentence likewise. In spaceless scripts an
-    ellipsis is judged by the dictionary word after and the particle before it.
+    ellipsis is judged by the word after it (the first on the best path through
+    the word lattice) and the particle before it.
     """
     out: list[tuple[int, int]] = []
     if not text:
@@ -114,12 +153,12 @@ def units(text: str | None, openers: frozenset[str] = frozenset(OPENING_WORDS))
     begin = 0
     edges = [m.span() for m in BLANK_LINE.finditer(text)] + [(len(text), len(text))]
     for stop, resume in edges:
-        _paragraph(text, begin, stop, openers, out)
+        _paragraph(text, begin, stop, lattice, out)
         begin = resume
     return out
 
 
-def _paragraph(text: str, start: int, end: int, openers: frozenset[str], out: list[tuple[int, int]]) -> None:
+def _paragraph(text: str, start: int, end: int, lattice: Lattice, out: list[tuple[int, int]]) -> None:
     pairs = _matched(text, start, end)
     first = start
     i = start
@@ -173,7 +212,7 @@ def _paragraph(text: str, start: int, end: int, openers: frozenset[str], out: li
             continue
         before = text[at - 1] if at > start else ""
         if _SPACELESS.match(before or " ") and _SPACELESS.match(text, after):
-            if mark.strip(".…") or _gap(text, after, before, openers):
+            if mark.strip(".…") or _gap(text, after, before, lattice):
                 emit(i)
             continue
         if after == i:  # no white space: only a glued capital begins a sentence
@@ -200,28 +239,96 @@ def body_rows(sections: DataFrame, key: str = "section_id") -> DataFrame:
     return sections.select(key, F.explode(F.concat(own, subs)).alias("b")).select(key, "b.sub_no", "b.body").where(F.col("body").isNotNull() & F.col(key).isNotNull())
 
 
-def learn_openers(bodies: DataFrame, text: str = "body") -> frozenset[str]:
-    """Words (2 to 4 characters) that often follow a strong terminator in spaceless scripts, over all texts.
+def _contexts(texts: Iterable[str]) -> Iterator[tuple[str, str, str]]:
+    """(string of up to WORD_MOST characters, character before, character after) of all runs; '' is an edge."""
+    for text in texts:
+        for found in _RUN.finditer(text):
+            run = found.group()
+            for i in range(len(run)):
+                for j in range(i + 1, min(len(run), i + WORD_MOST) + 1):
+                    yield run[i:j], run[i - 1 : i], run[j : j + 1]
+
+
+def _counted(keys: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Lists of (*key, count), never more than HELD_COUNTS keys held."""
+    held: Counter = Counter()
+    for key in keys:
+        held[key] += 1
+        if len(held) >= HELD_COUNTS:
+            yield [(*k, n) for k, n in held.items()]
+            held.clear()
+    yield [(*k, n) for k, n in held.items()]
 
-    The counts are partial before the shuffle; at most LEARNED_MOST entries
-    reach the driver. Short texts of many copies only raise counts.
+
+def autonomy(rows: Iterable[tuple[str, float, float]]) -> dict[str, float]:
+    """Worth of each string as a word, from (string, entropy of the character before, of the one after).
+
+    A word's neighbours are less certain than those of its parts: the growth
+    of either entropy by the last character, less the mean growth of strings
+    of that length. '' stands for any place.
     """
-    heads = F.regexp_extract_all(F.col(text), F.lit(rf"(?:^|[。！？]|[」”])\s*([{SPACELESS}]{{4}})"), F.lit(1))
-    long = bodies.where(F.col(text).rlike(f"[{SPACELESS}]")).select(F.explode(heads).alias("h"))
-    long = long.select(F.explode(F.array(*[F.substring("h", 1, n) for n in (2, 3, 4)])).alias("w"))
-    top = long.groupBy("w").count().where(F.col("count") >= LEARNED_LEAST).orderBy(F.desc("count"), "w").limit(LEARNED_MOST)
-    return frozenset(r[0] for r in top.collect()) | frozenset(OPENING_WORDS)
+    entropy = {w: (left, right) for w, left, right in rows}
+    growth = {w: (e[0] - entropy.get(w[1:], (0.0, 0.0))[0], e[1] - entropy.get(w[:-1], (0.0, 0.0))[1]) for w, e in entropy.items() if w}
+    out: dict[str, float] = {}
+    for size in range(1, WORD_MOST + 1):
+        own = {w: sum(g) for w, g in growth.items() if len(w) == size}
+        mean = sum(own.values()) / max(1, len(own))
+        out.update({w: g - mean for w, g in own.items()})
+    return out
+
+
+def learn_lattice(bodies: DataFrame, text: str = "body") -> Lattice:
+    """Dictionary and opening words of the spaceless scripts, over all texts.
+
+    Every string of up to WORD_MOST characters is counted with its neighbours,
+    and the strings that behave like words make the lattice. The opening words
+    are those that often head a run after a strong terminator, a closing quote
+    or at the start of a text, of whatever length. Counts are partial before
+    the shuffle; at most DICTIONARY_MOST and LEARNED_MOST entries reach the
+    driver. Short texts of many copies only raise counts.
+    """
+    long = bodies.select(text).where(F.col(text).rlike(f"[{SPACELESS}]"))
+
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            both = ((w, side, c) for w, *near in _contexts(batch[text]) for side, c in enumerate(near))
+            for rows in _counted(both):
+                yield pd.DataFrame(rows, columns=["w", "side", "c", "n"])
+
+    counts = long.mapInPandas(contexts, "w string, side int, c string, n bigint").groupBy("w", "side", "c").agg(F.sum("n").alias("n"))
+    # an edge is no character: each stands for a neighbour of its own
+    n, spread = F.col("n"), F.when(F.col("c") == "", 0.0).otherwise(F.col("n") * F.log(F.col("n").cast("double")))
+    words = counts.groupBy("w").agg((F.sum("n") / 2).alias("n"), *[F.sum(F.when(F.col("side") == k, spread)).alias(f"s{k}") for k in (0, 1)]).where(n >= LEARNED_LEAST)
+    top = words.orderBy(F.desc("n"), F.length("w"), "w").limit(DICTIONARY_MOST).collect()
+    if not top:
+        return Lattice()
+    single = [r["n"] for r in top if len(r["w"]) == 1]
+    total = sum(single)
+    anywhere = math.log(total) - sum(x * math.log(x) for x in single) / total if total else 0.0
+    worth = autonomy([("", anywhere, anywhere), *((r["w"], *[math.log(r["n"]) - r[s] / r["n"] for s in ("s0", "s1")]) for r in top)])
+    lattice = Lattice(worth)
+    shared = bodies.sparkSession.sparkContext.broadcast(lattice)
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            first = ((shared.value.first(t, m.start(1)),) for t in batch[text] for m in _HEAD.finditer(t))
+            for rows in _counted(first):
+                yield pd.DataFrame(rows, columns=["w", "n"])
+
+    often = long.mapInPandas(heads, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).where(n >= LEARNED_LEAST)
+    learned = [r["w"] for r in often.orderBy(F.desc("n"), "w").limit(LEARNED_MOST).collect()]
+    return Lattice(worth, lattice.openers.union(learned))
 
 
 def sentence_units(spark: SparkSession, sections: DataFrame, key: str = "section_id") -> DataFrame:
     """(key, sub_no, start_at, end_at): one row per sentence unit of every body, offsets in characters.
 
-    A narrow pass over whole bodies; only the small dictionary of opening words
-    is broadcast. Null and blank bodies have no units, repeated rows should
+    A narrow pass over whole bodies; only the bounded dictionary of words and
+    opening words is broadcast. Null and blank bodies have no units, repeated rows should
     have been reduced before.
     """
     bodies = body_rows(sections, key)
-    shared = spark.sparkContext.broadcast(learn_openers(bodies))
+    shared = spark.sparkContext.broadcast(learn_lattice(bodies))
     schema = f"`{key}` {sections.schema[key].dataType.simpleString()}, sub_no int, start_at int, end_at int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -112,6 +112,24 @@ def test_sentence_rows(spark):
     assert sentences.sentence_units(spark, df.limit(0)).count() == 0
 
 
+def test_spaceless_gaps_walk_the_word_lattice(spark):
+    rng = random.Random(5)
+    when, who, did, what = ["昨天", "去年", "雨季以后", "每个月"], ["商人", "农民", "助产士", "老师"], ["看见", "修理", "购买"], ["粮仓", "会议记录", "水井", "学校"]
+
+    def clause():
+        return "".join(map(rng.choice, (when, who, did, what)))
+
+    bodies = [f"{clause()}。{rng.choice(who)}说：「{clause()}。」{clause()}，{rng.choice(who)}{rng.choice(did)}{rng.choice(what)}。" for _ in range(60)]
+    planted = ["昨天商人看见粮仓……农民说：「去年老师购买水井。」", "昨天商人看见……粮仓。"]
+    sub = "array<struct<title:string,items:array<struct<num:int,text:string>>,bullet_items:array<struct<text:string>>,body:string>>"
+    df = spark.createDataFrame([(k, t, None) for k, t in enumerate(planted + bodies)], f"section_id bigint, body string, subsections {sub}")
+    got = [(r.section_id, planted[r.section_id][r.start_at : r.end_at]) for r in sentences.sentence_units(spark, df).collect() if r.section_id < 2]
+    assert set(got) == {(0, "昨天商人看见粮仓……"), (0, "农民说：「去年老师购买水井。」"), (1, "昨天商人看见……粮仓。")}
+    lattice = sentences.learn_lattice(sentences.body_rows(df))
+    assert lattice.path("雨季以后助产士购买会议记录") == ["雨季以后", "助产士", "购买", "会议记录"]
+    assert "农民" in lattice.openers and "粮仓" not in lattice.openers
+
+
 # --- language -------------------------------------------------------------------------------------------------------
 
 
