@@ -92,14 +92,23 @@ def regrouped_units(spark: SparkSession, sf: str) -> DataFrame:
     return joins.regroup(parts, "pt_id", "pos", "size").select("pt_id", F.array_join("size", ",").alias("sizes"))
 
 
-def glossary_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    probe = latest(table(spark, sf, "fr_mos_combined", "pair_id", "french", "source", "loaded_at"), "pair_id").where("french is not null and source = 'lexicon_entries'").select("pair_id", "french")
+def _looked_up(spark: SparkSession, sf: str, probed: str) -> DataFrame:
+    probe = latest(table(spark, sf, "fr_mos_combined", "pair_id", "french", "source", "loaded_at"), "pair_id").where(probed).select("pair_id", "french")
     build = latest(table(spark, sf, "lexicon_entries", "entry_id", "french", "moore", "loaded_at"), "entry_id").select("entry_id", F.col("french").alias("term"), F.col("moore").alias("gloss"))
     a, b = joins.term_keys(F.col("french"), F.col("french")), joins.term_keys(F.col("term"), F.col("term"))
     out = joins.prioritised_lookup(probe, build, list(zip(a, b)), ["entry_id", "gloss"], "entry_id")
     return out.select("pair_id", "entry_id", "gloss", "match_pass")
 
 
+def glossary_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of one source only, as its SQL has it; ``glossary_lookup_all`` looks up every record."""
+    return _looked_up(spark, sf, "french is not null and source = 'lexicon_entries'")
+
+
+def glossary_lookup_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _looked_up(spark, sf, "french is not null")
+
+
 def numbered_left_join(spark: SparkSession, sf: str) -> DataFrame:
     left = table(spark, sf, "nation", "n_nationkey", "n_name").withColumnRenamed("n_nationkey", "num")
     right = table(spark, sf, "region", "r_regionkey", "r_name").withColumnRenamed("r_regionkey", "num")
@@ -156,7 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         sentence_split, lines_joined, french_normalized, folded_keys, plain_cells, heading_groups, numbered_items, carried_headings,
         manual_units, chapter_replacement, language_boundary, positional_zip, aligned_threshold, regrouped_units, glossary_lookup,
-        numbered_left_join, similarity_threshold, rowwise_score, dtw_align, synonym_rows, proverbs_stripped, bitext_fields,
+        glossary_lookup_all, numbered_left_join, similarity_threshold, rowwise_score, dtw_align, synonym_rows, proverbs_stripped, bitext_fields,
         running_offsets, kinds_of_word,
     )
 }
@@ -256,3 +265,5 @@ SELECT pair_id, nullif(f[1],'') AS eng_Latn, nullif(f[2],'') AS mos_Latn, nullif
 SELECT pt_id, source, n, coalesce(sum(n) OVER (PARTITION BY source ORDER BY pt_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM p""",
     "kinds_of_word": "SELECT pos_tag, count(*) AS n FROM lexicon_entries GROUP BY pos_tag",
 }
+
+SQL["glossary_lookup_all"] = SQL["glossary_lookup"].replace(" AND source = 'lexicon_entries'", "")

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandemtext.operators import columns, dedup, filters, joins, lexicon, lines, models, packed, report, segment, split, wordlists
+from tandemtext.queries import documents
 from tandemtext.session import latest
 
 C = F.col("t")
@@ -122,6 +123,13 @@ def test_glossary_lookup(spark):
     assert rows == {1: ("d1", 2), 2: ("d3", 3)}
 
 
+def test_glossary_lookup_probes_every_source(spark, tmp_path):
+    probe = [(1, "Sel", "lexicon_entries", 1), (2, "sel", " Lexicon_Entries ", 1), (3, "SÉL ", "digital-terms", 1), (4, "sel", None, 1), (5, None, "web", 1), (6, "rien", "web", 1), (7, "sel", "web", 1), (7, "rien", "web", 2)]
+    spark.createDataFrame(probe, "pair_id bigint, french string, source string, loaded_at int").write.parquet(f"{tmp_path}/fr_mos_combined.parquet")
+    spark.createDataFrame([(1, "sel", "yamsem", 1)], "entry_id bigint, french string, moore string, loaded_at int").write.parquet(f"{tmp_path}/lexicon_entries.parquet")
+    assert sorted(r.pair_id for r in documents.glossary_lookup_all(spark, str(tmp_path)).collect()) == [1, 2, 3, 4]
+
+
 def test_zip_and_equal_lengths(spark):
     df = spark.createDataFrame([(1, ["a", "b"], ["x"])], "id int, f array<string>, m array<string>")
     assert joins.zip_places(df, ["f", "m"], "id").count() == 1
