@@ -17,8 +17,10 @@ SEED = 4
 TILE = 2
 #: Share of a passage's words that a document must hold.
 SHARE = 0.5
-#: Part of that share which the held words must have of the passage's weight (rarity among the passages).
+#: Part of that share which scattered held words must have of the passage's weight (rarity among the passages).
 WEIGHT = 1.0
+#: Words of a passage that a slip may take from a fragment that is still one run.
+SLIP = 1
 #: Words that slips may put between two tiles of one passage.
 GAP = 4
 #: Passages of one block; more passages are searched block by block.
@@ -158,6 +160,14 @@ def _reach(item: np.ndarray, part: np.ndarray, i: int, j: int, step: int, gap: i
             mask[min(i, a) : max(i, a) + 1] = True
 
 
+def _run(mask: np.ndarray, slip: int = SLIP) -> int:
+    """Most held words of one run: at most ``slip`` words that are not held between two of them."""
+    at = np.flatnonzero(mask)
+    if not len(at):
+        return 0
+    return int(max(len(part) for part in np.split(at, np.flatnonzero(np.diff(at) > slip + 1) + 1)))
+
+
 def _bound(item: np.ndarray, part: np.ndarray) -> int:
     """At most so many words can be held: those in shared word pairs, and two for each unknown word."""
     a, b = item.tolist(), part.tolist()
@@ -224,8 +234,8 @@ def _scan(passages: Passages, texts: list[str | None], memo: WordIds, share: flo
             continue
         mask = held(passages.ids[p], part, gap)
         weight = passages.weight[passages.ids[p]]
-        # coincidences are made of words that every passage has: the held words must weigh something too
-        if mask.sum() >= share * size and weight[mask].sum() >= WEIGHT * share * weight.sum():
+        # scattered coincidences are made of words that every passage has: unless one run is enough, the held words must weigh something too
+        if mask.sum() >= share * size and (_run(mask) >= share * size or weight[mask].sum() >= WEIGHT * share * weight.sum()):
             done.add((d, p))
             yield d, p
 

@@ -337,6 +337,17 @@ def test_leaks_with_planted_passages(spark):
     assert leaks.leaked_items(spark, documents, held_out.limit(0), ("french", "moore")).count() == 0
 
 
+def test_one_run_of_half_the_words_is_a_leak_whatever_its_weight(spark):
+    rng = random.Random(11)
+    common = ["le", "chef", "du", "village", "a", "dit", "que", "pluie", "viendra", "demain"]
+    items = [(0, " ".join(common + [f"rare{k}" for k in range(10)]))]
+    items += [(k, " ".join(rng.sample(common, 10) + [f"mot{k}x{n}" for n in range(10)])) for k in range(1, 25)]
+    docs = [(0, "On sait : " + " ".join(common) + ". Voilà."), (1, "On sait : " + " ".join(common[:9]) + ". Voilà."), (2, " ".join(common[:4] + ["rare0"] + common[7:]))]
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    held_out = spark.createDataFrame(items, "item_id bigint, french string")
+    assert {tuple(r) for r in leaks.leaked_items(spark, documents, held_out, ("french",)).collect()} == {(0, 0)}
+
+
 def test_tiles_are_maximal_and_disjoint():
     rng = np.random.default_rng(10)
     for _ in range(50):
