@@ -26,6 +26,7 @@ GAP = 4
 #: Passages of one block; more passages are searched block by block.
 BLOCK = 20_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _PRIME = 1_000_003, (1 << 61) - 1
 
 
 def _grams(ids: np.ndarray, size: int) -> np.ndarray:
@@ -74,28 +75,41 @@ class Passages:
         self.short = {tuple(x.tolist()): k for k, x in enumerate(self.ids) if len(x) < seed}
 
 
+def _rolling(ids: list[int], size: int) -> list[int]:
+    """Karp-Rabin hash of each run of ``size`` ids, rolled from one run to the next."""
+    if len(ids) < size:
+        return []
+    out, value, leaving = [], 0, pow(_BASE, size, _PRIME)
+    for n, x in enumerate(ids):
+        value = (value * _BASE + x - (ids[n - size] * leaving if n >= size else 0)) % _PRIME
+        if n >= size - 1:
+            out.append(value)
+    return out
+
+
 def tiles(a: np.ndarray, b: np.ndarray, least: int = TILE) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two id arrays: (start in a, start in b, length), longest first.
 
-    Each round hashes all unmarked runs of the present length (Karp-Rabin),
+    The runs of ``least`` ids are found by their rolling Karp-Rabin hashes,
+    once. Each round compares the unmarked ones id by id as far as they go,
     takes the longest non-overlapping common runs as tiles and marks them.
     """
-    marked_a, marked_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    la, lb = a.tolist(), b.tolist()
+    marked_a, marked_b = bytearray(len(la)), bytearray(len(lb))
     found: list[tuple[int, int, int]] = []
     where = defaultdict(list)
-    for j, x in enumerate(b.tolist()):
-        if x:
-            where[x].append(j)
-    la, lb = a.tolist(), b.tolist()
+    for j, h in enumerate(_rolling(lb, least)):
+        where[h].append(j)
+    starts = [(i, where[h]) for i, h in enumerate(_rolling(la, least)) if la[i] and h in where]
     while True:
         best, matches = least, []
-        for i, x in enumerate(la):
+        for i, places in starts:
             if marked_a[i]:
                 continue
-            for j in where.get(x, ()):
+            for j in places:
                 if marked_b[j] or (i and j and la[i - 1] == lb[j - 1] and not marked_a[i - 1] and not marked_b[j - 1]):
                     continue
-                k = 1
+                k = 0
                 while i + k < len(la) and j + k < len(lb) and la[i + k] == lb[j + k] and not marked_a[i + k] and not marked_b[j + k]:
                     k += 1
                 if k > best:
@@ -105,8 +119,8 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int = TILE) -> list[tuple[int, in
         if not matches:
             return found
         for i, j, k in matches:
-            if not marked_a[i : i + k].any() and not marked_b[j : j + k].any():
-                marked_a[i : i + k] = marked_b[j : j + k] = True
+            if not any(marked_a[i : i + k]) and not any(marked_b[j : j + k]):
+                marked_a[i : i + k] = marked_b[j : j + k] = b"\1" * k
                 found.append((i, j, k))
 
 

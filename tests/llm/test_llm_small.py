@@ -348,6 +348,18 @@ def test_one_run_of_half_the_words_is_a_leak_whatever_its_weight(spark):
     assert {tuple(r) for r in leaks.leaked_items(spark, documents, held_out, ("french",)).collect()} == {(0, 0)}
 
 
+def test_runs_are_found_by_rolling_hashes():
+    rng = random.Random(4)
+    for _ in range(50):
+        ids = [rng.randrange(1, 4) for _ in range(rng.randrange(40))]
+        for size in (1, 2, 5):
+            runs = [tuple(ids[i : i + size]) for i in range(len(ids) - size + 1)]
+            hashes = leaks._rolling(ids, size)
+            assert len(hashes) == len(runs) and len(set(zip(runs, hashes))) == len(set(runs)) == len(set(hashes))
+    a, b = np.array([1, 2, 3, 4, 5, 6, 1, 2]), np.array([4, 5, 6, 0, 1, 2, 3])
+    assert leaks.tiles(a, b) == [(0, 4, 3), (3, 0, 3)]
+
+
 def test_tiles_are_maximal_and_disjoint():
     rng = np.random.default_rng(10)
     for _ in range(50):
