@@ -35,6 +35,17 @@ def signature(context: object) -> np.ndarray:
     return state.choice(np.array([-1.0, 1.0], dtype=np.float32), DIM)
 
 
+def rotation(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Orthogonal matrix that turns the rows of ``x`` onto those of ``y``.
+
+    Shared signatures already align the spaces roughly, so seeds missing to
+    two a dimension are made up by weight on the identity.
+    """
+    missing = max(0, 2 * DIM - len(x))
+    u, _, v = np.linalg.svd(x.T.astype(np.float64) @ y.astype(np.float64) + missing * np.eye(x.shape[1]))
+    return u @ v
+
+
 def spoken(sentence: str | None) -> list[str]:
     """Words of an element; none for null, blank and stray elements (fewer than LEAST_WORDS real words)."""
     found = words(sentence) if isinstance(sentence, str) else []
@@ -44,8 +55,9 @@ def spoken(sentence: str | None) -> list[str]:
 def word_sums(documents: DataFrame, key: str = "pt_id") -> DataFrame:
     """(side, word, documents, sentences, vector): summed context signatures of every word, over all documents.
 
-    The skip-gram context of a word is the document it stands in, whose
-    signature both languages share. Each task sums its documents first and
+    Random indexing by document instead of a trained skip-gram model: the
+    context of a word is the document it stands in, whose random signature both
+    languages share. Each task sums its documents first and
     hands on one row per word, so a word that every document has sends one row
     per task. The row of side '' and word '' sums all documents.
     """
@@ -122,8 +134,7 @@ class Vectors:
         """Orthogonal Procrustes: turn the French space onto the Moore one by seed pairs.
 
         Seeds are words spelt alike in both languages (names) and mutual
-        nearest words. Shared signatures already align the spaces roughly; with
-        fewer than two seeds a dimension they stay as they are.
+        nearest words.
         """
         a, b = self.matrix
         often = [np.flatnonzero(c >= 2 * LEAST_DOCUMENTS) for c in self.count]
@@ -135,11 +146,9 @@ class Vectors:
                 if backward[y] == x and a[often[0][x]] @ b[often[1][y]] > 0.6:
                     pairs.add((int(often[0][x]), int(often[1][y])))
         self.seeds = len(pairs)
-        if len(pairs) < 2 * DIM:
-            return
-        x, y = np.array([a[i] for i, _ in sorted(pairs)]), np.array([b[j] for _, j in sorted(pairs)])
-        u, _, v = np.linalg.svd(x.T.astype(np.float64) @ y.astype(np.float64))
-        self.matrix[0] = (a @ (u @ v)).astype(np.float32)
+        if pairs:
+            x, y = np.array([a[i] for i, _ in sorted(pairs)]), np.array([b[j] for _, j in sorted(pairs)])
+            self.matrix[0] = (a @ rotation(x, y)).astype(np.float32)
 
     def embed(self, side: int, sentences: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(words, sentence of each word, vectors, weights) of a document side; a word counts once a sentence."""

@@ -257,6 +257,30 @@ def test_alignment_of_an_invented_language(spark):
     assert len(got & truth) / len(truth) > 0.9 and len(got & truth) / len(got) > 0.9
 
 
+def test_few_seeds_turn_the_space_a_little():
+    rng = np.random.default_rng(3)
+
+    def unit(n):
+        rows = rng.normal(size=(n, bitext.DIM))
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    turn, _ = np.linalg.qr(np.eye(bitext.DIM) + 0.02 * rng.normal(size=(bitext.DIM, bitext.DIM)))
+    turn *= np.sign(np.diag(turn))
+    likeness = []
+    for n in (0, 1, 50, 2 * bitext.DIM - 1, 4 * bitext.DIM):
+        x = unit(n)
+        found = bitext.rotation(x, x @ turn)
+        assert np.allclose(found @ found.T, np.eye(bitext.DIM), atol=1e-8)
+        likeness.append(np.trace(found.T @ turn) / bitext.DIM)
+    assert np.allclose(bitext.rotation(unit(0), unit(0)), np.eye(bitext.DIM)) and np.all(np.diff(likeness) > 0) and likeness[-1] > 0.999
+    shared = [f"nom{k}" for k in range(60)]
+    base = unit(60)
+    rows = [(side, w, 20, 20, (base[k] @ (turn if side == "moore" else np.eye(bitext.DIM))).astype(np.float32).tobytes()) for side in bitext.SIDES for k, w in enumerate(shared)]
+    vectors = bitext.Vectors(rows)
+    before, after = (base * (base @ turn)).sum(), (vectors.matrix[0] * vectors.matrix[1]).sum()
+    assert vectors.seeds < 2 * bitext.DIM and after > before
+
+
 def test_warping_path():
     rng = np.random.default_rng(7)
     for n, m in [(1, 1), (2, 9), (17, 12), (40, 41)]:
