@@ -17,6 +17,10 @@ from tandemtext.session import latest, table
 MARKERS = (("le ", "masculine"), ("la ", "feminine"), ("l'", "elided"), ("the ", "english"))
 
 
+#: Names of the texts and what takes their place; some change places.
+NAMES = {"Nubo": "Loyougo", "Loyougo": "Nubo", "Dagén": "Tékuba", "Tékuba": "Dagén", "Suwa": "Zima", "Zima": "Ridi", "Lidiba": "Kadiba", "Niekogo": "Zoubugo", "Zoubugo": "Poko", "Nete": "Netego"}
+
+
 def words_listed(spark: SparkSession, sf: str) -> DataFrame:
     df = latest(table(spark, sf, "fr_mos_combined", "pair_id", "french", "loaded_at"), "pair_id").select("pair_id", "french")
     listed = wordlists.lexicon_words(table(spark, sf, "lexicon_entries", "english"), "english")
@@ -34,6 +38,12 @@ def names_replaced(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("n_nationkey", joins.substitute_names(F.col("n_name"), {"CHINA": "INDIA", "INDIA": "CHINA", "UNITED": "JOINED"}).alias("name"))
 
 
+def names_in_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Names inside running text; ``names_replaced`` has names that are the whole value or its first word."""
+    df = table(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
+    return df.select("pair_id", *[joins.substitute_names(F.col(c), NAMES).alias(c) for c in ("french", "moore")])
+
+
 def canonical_titles(spark: SparkSession, sf: str) -> DataFrame:
     df = latest(table(spark, sf, "sections", "section_id", "title", "loaded_at"), "section_id").select("section_id", F.col("title").alias("line"))
     return joins.canonical_title(df, "line", MARKERS).select("section_id", "title")
@@ -115,7 +125,7 @@ def labels_plain(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        words_listed, words_unlisted, names_replaced, canonical_titles, lines_before_stop, lines_rejoined, values_carried, page_columns,
+        words_listed, words_unlisted, names_replaced, names_in_texts, canonical_titles, lines_before_stop, lines_rejoined, values_carried, page_columns,
         chapters_by_page, sides_present, sources_united, hyphens_fixed, equal_sides, enumerated_lines, matched_share, columns_with_values, labels_plain,
     )
 }
@@ -157,3 +167,7 @@ SELECT chapter_no, count(*) AS n, min(page) AS first_page, max(page) AS last_pag
     "columns_with_values": "SELECT pair_id, english FROM fr_mos_combined",
     "labels_plain": "SELECT pair_id, moore_glotlid_lang AS label FROM aligned_pairs",
 }
+
+_NAMED = r"array_to_string(list_transform(regexp_extract_all({0}, '[\p{{L}}\p{{M}}\p{{N}}_]+|[^\p{{L}}\p{{M}}\p{{N}}_]+'), lambda w: CASE w {1} ELSE w END), '')"
+_WHEN = " ".join(f"WHEN '{name}' THEN '{other}'" for name, other in NAMES.items())
+SQL["names_in_texts"] = f"SELECT pair_id, {_NAMED.format('french', _WHEN)} AS french, {_NAMED.format('moore', _WHEN)} AS moore FROM fr_mos_combined"

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandemtext.operators import columns, dedup, filters, joins, lexicon, lines, models, packed, report, segment, split, wordlists
-from tandemtext.queries import documents
+from tandemtext.queries import documents, folds
 from tandemtext.session import latest
 
 C = F.col("t")
@@ -163,6 +163,13 @@ def test_names_are_replaced_at_once(one):
     assert one(joins.substitute_names(C, {"A": "B", "B": "C"}), "t string", "A B AB") == "B C AB"
 
 
+def test_names_in_running_texts(spark, tmp_path):
+    rows = [(1, "À Nubo, Nubogo et l'Dagén : Loyougo (Nubo).", "Suwa-Zima Suwã xSuwa"), (2, None, "")]
+    spark.createDataFrame(rows, "pair_id bigint, french string, moore string").write.parquet(f"{tmp_path}/fr_mos_combined.parquet")
+    got = sorted(tuple(r) for r in folds.names_in_texts(spark, str(tmp_path)).collect())
+    assert got == [(1, "À Loyougo, Nubogo et l'Tékuba : Nubo (Loyougo).", "Zima-Ridi Suwã xSuwa"), (2, None, "")]
+
+
 def test_components_against_union_find(spark):
     df = spark.createDataFrame([(1, "A", "p", 0.2), (2, "A", "q", 0.9), (3, "B", "q", 0.5), (4, "C", "r", None), (5, None, "p", 0.1), (6, "Z", None, 0.3)], "id int, s string, m string, q double")
     got = {r.id: r.component for r in dedup.components(df, "id", ["s", "m"]).collect()}
