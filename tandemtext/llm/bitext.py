@@ -4,272 +4,417 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandemtext.llm.text import words
+from tandemtext.llm.text import WORD, composed, plain_word
 from tandemtext.session import cut_lineage, spread
 
-#: Dimensions of the word vectors.
+#: Dimensions of the vectors, a multiple of 64.
 DIM = 192
-#: Words of a language that keep a vector, the most frequent (a documented bound of what is broadcast).
-VOCABULARY = 60_000
-#: Entries a task sums before it hands partial sums on.
-FLUSH = 40_000
-#: Documents a word must occur in for its vector to mean something.
-LEAST_DOCUMENTS = 4
-#: Similarity below which two words share nothing, and share of a sentence that its counterpart must hold.
-WORD_LEAST, SENTENCE_LEAST = 0.25, 0.5
+#: Vector rows of a language. Words are hashed into them, so every word has one and the tables have a fixed size.
+BUCKETS = 1 << 16
+#: Passes of training after the first.
+REFINED = 1
+#: Windows a word must occur in for its vector to mean something; rarer words are known by their spelling.
+LEAST_WINDOWS = 4
+#: Leading components that the vectors of a language share and that are taken off.
+COMMON = 4
+#: Rows a side that seeds of the rotation are sought among, the most frequent.
+SEEDED = 4000
+#: Share of the shorter sentence that its counterpart must hold, on the path and in the rematch beside it.
+PATH_LEAST, REMATCH_LEAST = 0.55, 0.65
+#: Most that one word weighs in its sentence.
+WEIGHT_MOST = 5.0
+#: Half width of the band around the coarser path, and length below which a problem is solved whole.
+RADIUS, WHOLE = 4, 12
 #: Words with a letter that a sentence must have; shorter elements are page marks and the like.
 LEAST_WORDS = 3
 SIDES = ("french", "moore")
 
 
-def signature(context: object) -> np.ndarray:
-    """Random direction of a context, the same for both languages."""
-    state = np.random.RandomState(zlib.crc32(str(context).encode()))
-    return state.choice(np.array([-1.0, 1.0], dtype=np.float32), DIM)
+class Spellings(dict):
+    """Raw word -> (31-bit hash of its plain form, whether it is a real word); emptied at ``limit`` entries."""
+
+    def __init__(self, limit: int = 1_000_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: str) -> tuple[int, bool]:
+        if len(self) >= self.limit:
+            self.clear()
+        plain = plain_word(word)
+        found = self[word] = (zlib.crc32(plain.encode()) & 0x7FFFFFFF, len(plain) > 1 and not plain.isdigit())
+        return found
+
+
+def spoken(sentence: str | None, memo: Spellings) -> list[int]:
+    """Distinct word ids of an element; none for null, blank and stray elements (fewer than LEAST_WORDS real words)."""
+    if not isinstance(sentence, str):
+        return []
+    found = [memo[w] for w in WORD.findall(composed(sentence))]
+    return list(dict.fromkeys(x for x, _ in found)) if sum(real for _, real in found) >= LEAST_WORDS else []
+
+
+def worded(documents: DataFrame, key: str) -> DataFrame:
+    """(key, ids and lens of each side): word ids of all elements end to end, and how many each element has."""
+    names = [f"{side}_{part}" for side in SIDES for part in ("ids", "lens")]
+    schema = f"`{key}` {documents.schema[key].dataType.simpleString()}, " + ", ".join(f"{n} array<int>" for n in names)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = Spellings()
+        for batch in batches:
+            out: dict[str, list] = {key: batch[key], **{n: [] for n in names}}
+            for side in SIDES:
+                for elements in batch[side]:
+                    found = [spoken(e, memo) for e in (elements if elements is not None else ())]
+                    out[f"{side}_ids"].append([x for words in found for x in words])
+                    out[f"{side}_lens"].append([len(words) for words in found])
+            yield pd.DataFrame(out)
+
+    return documents.select(key, *SIDES).mapInPandas(run, schema)
+
+
+def signs(numbers: np.ndarray) -> np.ndarray:
+    """A random direction of unit length for each 64-bit number, the same wherever it is asked for."""
+    out = []
+    with np.errstate(over="ignore"):
+        for k in range(DIM // 64):
+            x = numbers.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF)
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+            out.append((x ^ (x >> np.uint64(31))).view(np.uint8).reshape(len(x), 8))
+    bits = np.unpackbits(np.concatenate(out, axis=1), axis=1) if len(numbers) else np.zeros((0, DIM), np.uint8)
+    return (bits.astype(np.float32) * 2 - 1) / np.float32(math.sqrt(DIM))
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+
+
+def _flat(arrays: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """All values end to end, and how many each row has."""
+    parts = [np.asarray(a, dtype=np.int64) for a in arrays]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64), np.array([len(p) for p in parts], dtype=np.int64)
 
 
 def rotation(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Orthogonal matrix that turns the rows of ``x`` onto those of ``y``.
 
-    Shared signatures already align the spaces roughly, so seeds missing to
-    two a dimension are made up by weight on the identity.
+    The windows of both languages are the same, so the spaces lie near one
+    another; seeds missing to two a dimension are made up by weight on the identity.
     """
     missing = max(0, 2 * DIM - len(x))
     u, _, v = np.linalg.svd(x.T.astype(np.float64) @ y.astype(np.float64) + missing * np.eye(x.shape[1]))
     return u @ v
 
 
-def spoken(sentence: str | None) -> list[str]:
-    """Words of an element; none for null, blank and stray elements (fewer than LEAST_WORDS real words)."""
-    found = words(sentence) if isinstance(sentence, str) else []
-    return found if sum(len(w) > 1 and not w.isdigit() for w in found) >= LEAST_WORDS else []
-
-
-def word_sums(documents: DataFrame, key: str = "pt_id") -> DataFrame:
-    """(side, word, documents, sentences, vector): summed context signatures of every word, over all documents.
-
-    Random indexing by document instead of a trained skip-gram model: the
-    context of a word is the document it stands in, whose random signature both
-    languages share. Each task sums its documents first and
-    hands on one row per word, so a word that every document has sends one row
-    per task. The row of side '' and word '' sums all documents.
+class Vectors:
+    """Vectors of the hashed words of both languages: row ``side * BUCKETS + bucket``."""
+
+    def __init__(self, rows: pd.DataFrame):
+        own = rows[rows["row"] >= 0]
+        whole = rows[rows["row"] < 0]
+        self.total = int(whole["windows"].iloc[0]) if len(whole) else 0
+        mean = np.frombuffer(whole["vector"].iloc[0], np.float32) / max(1, self.total) if len(whole) else np.zeros(DIM, np.float32)
+        self.place = np.full(2 * BUCKETS, -1, dtype=np.int64)
+        self.place[own["row"].to_numpy(np.int64)] = np.arange(len(own))
+        self.windows = own["windows"].to_numpy(np.int64)
+        self.side = own["row"].to_numpy(np.int64) // BUCKETS
+        self.bucket = own["row"].to_numpy(np.int64) % BUCKETS
+        matrix = np.frombuffer(b"".join(own["vector"]), np.float32).reshape(len(own), DIM)
+        self.matrix = unit(matrix - self.windows[:, None].astype(np.float32) * mean)
+        self.often = self.windows >= LEAST_WINDOWS
+        self._strip()
+        sentences = own["sentences"].to_numpy(np.float64)
+        spoken_ = np.array([whole["sentences"].iloc[0] / 2 if len(whole) else 1.0] * 2)
+        self.weight = np.minimum(WEIGHT_MOST, np.log((spoken_[self.side] + 1) / np.maximum(sentences, 1))).clip(0).astype(np.float32)
+
+    def _strip(self) -> None:
+        """Take off what all vectors of a side share: their mean and the COMMON leading components (style, not sense)."""
+        for s in (0, 1):
+            own = self.side == s
+            often = own & self.often
+            if not often.any():
+                continue
+            rows = self.matrix[own] - self.matrix[often].mean(axis=0)
+            _, axes = np.linalg.eigh(np.cov((self.matrix[often] - self.matrix[often].mean(axis=0)).T.astype(np.float64), bias=True))
+            top = axes[:, -COMMON:].astype(np.float32)
+            self.matrix[own] = unit(rows - (rows @ top) @ top.T)
+
+    def rotate(self) -> int:
+        """Orthogonal Procrustes: turn the French vectors onto the Moore ones by seed pairs; how many there were.
+
+        Seeds are words spelt alike in both languages (names, figures) and
+        mutual nearest words among the SEEDED most frequent of each side.
+        """
+        sides = [np.flatnonzero((self.side == s) & self.often) for s in (0, 1)]
+        a, b = (s[np.argsort(-self.windows[s], kind="stable")[:SEEDED]] for s in sides)
+        if not len(a) or not len(b):
+            return 0
+        near = self.matrix[a] @ self.matrix[b].T
+        forward, backward = near.argmax(axis=1), near.argmax(axis=0)
+        mutual = [(x, b[y]) for x, y, back in zip(a, forward, backward[forward] == np.arange(len(a))) if back]
+        alike = self.place[BUCKETS + self.bucket[a]]
+        pairs = np.array([(x, y) for x, y in zip(a, alike) if y >= 0 and self.often[y]] + mutual).reshape(-1, 2)
+        turn = rotation(self.matrix[pairs[:, 0]], self.matrix[pairs[:, 1]])
+        first = self.side == 0
+        self.matrix[first] = (self.matrix[first] @ turn).astype(np.float32)
+        return len(pairs)
+
+    def look(self, side: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vectors, weights) of word ids; a rare word has the direction of its spelling, the same on both sides."""
+        at = self.place[side * BUCKETS + (ids & (BUCKETS - 1))]
+        known = (at >= 0) & self.often[at] if len(self.often) else np.zeros(len(ids), bool)
+        vectors = np.empty((len(ids), DIM), np.float32)
+        vectors[known] = self.matrix[at[known]]
+        vectors[~known] = signs(ids[~known])
+        weights = np.full(len(ids), WEIGHT_MOST, np.float32)
+        weights[known] = self.weight[at[known]]
+        return vectors, weights
+
+    def sentences(self, side: int, ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Vector of each sentence: its words' vectors by their weights. No element may be empty."""
+        vectors, weights = self.look(side, ids)
+        return np.add.reduceat(vectors * weights[:, None], np.cumsum(lens) - lens, axis=0)
+
+
+def _gradient(words: DataFrame, windows: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
+    """(row, windows, sentences, vector): what the words of every row of the vectors are drawn to, over all documents.
+
+    ``windows`` gives the windows of a batch: the sum of the output vectors of
+    each one's words, and the (window, row) pairs of these words. Line -1 sums
+    all windows. Each task adds up its documents in tables of fixed size and
+    hands on one line a row, so a word that every document has costs one line
+    a task; the lines of a row are then added as they stream in.
     """
-    schema = "side string, word string, documents bigint, sentences bigint, vector binary"
+    schema = "row int, windows bigint, sentences bigint, vector binary"
+    size = 2 * BUCKETS + 1
 
-    def rows(sums: dict) -> pd.DataFrame:
-        out = [(side, word, n, s, v.astype(np.float32).tobytes()) for (side, word), (n, s, v) in sums.items()]
-        return pd.DataFrame(out, columns=["side", "word", "documents", "sentences", "vector"])
+    def lines(totals: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        at = np.flatnonzero(counts.any(axis=1))
+        return pd.DataFrame({"row": np.where(at == size - 1, -1, at).astype(np.int32), "windows": counts[at, 0], "sentences": counts[at, 1], "vector": [v.tobytes() for v in totals[at]]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple[str, str], list] = {}
+        totals, counts = np.zeros((size, DIM), np.float32), np.zeros((size, 2), np.int64)
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                mark = signature(row[0])
-                total = sums.setdefault(("", ""), [0, 0, np.zeros(DIM, np.float32)])
-                total[0] += 1
-                total[2] += mark
-                for side, elements in zip(SIDES, row[1:3]):
-                    seen: dict[str, int] = {}
-                    count = 0
-                    for element in elements if elements is not None else ():
-                        found = spoken(element)
-                        count += bool(found)
-                        for w in set(found):
-                            seen[w] = seen.get(w, 0) + 1
-                    seen[""] = count  # sentences of the side
-                    for w, n in seen.items():
-                        entry = sums.setdefault((side, w), [0, 0, np.zeros(DIM, np.float32)])
-                        entry[0] += 1
-                        entry[1] += n
-                        entry[2] += mark
-            if len(sums) > FLUSH:
-                yield rows(sums)
-                sums = {}
-        yield rows(sums)
+            for s, side in enumerate(SIDES):
+                ids, _ = _flat(batch[f"{side}_ids"])
+                counts[:, 1] += np.bincount(s * BUCKETS + (ids & (BUCKETS - 1)), minlength=size)
+                counts[-1, 1] += sum(int(np.count_nonzero(x)) for x in batch[f"{side}_lens"])
+            sums, window, row = windows(batch)
+            if not len(row):
+                continue
+            totals[-1] += sums.sum(axis=0)
+            counts[-1, 0] += len(sums)
+            order = np.argsort(row, kind="stable")
+            window, row = window[order], row[order]
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            totals[row[first]] += np.add.reduceat(sums[window], first, axis=0)
+            counts[row[first], 0] += np.diff(np.r_[first, len(row)])
+        yield lines(totals, counts)
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals, counts = np.zeros((size, DIM), np.float32), np.zeros((size, 2), np.int64)
         for batch in batches:
-            batch["vector"] = [np.sum([np.frombuffer(v, np.float32) for v in vs], axis=0, dtype=np.float64).astype(np.float32).tobytes() for vs in batch["vector"]]
-            yield batch
+            for row, *count, vector in batch.itertuples(index=False):
+                totals[row] += np.frombuffer(vector, np.float32)
+                counts[row] += count
+        yield lines(totals, counts)
+
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return words.mapInPandas(run, schema).repartition(parts, "row").mapInPandas(add, schema)
+
+
+def _windows(ids: np.ndarray, row: np.ndarray, window: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the output vectors of each window's words, and the distinct (window, row) pairs; ``window`` is ascending."""
+    if not len(ids):
+        return np.zeros((0, DIM), np.float32), window, row
+    outputs = signs(ids) if weight is None else signs(ids) * weight[:, None]
+    sums = np.add.reduceat(outputs, np.flatnonzero(np.r_[True, window[1:] != window[:-1]]), axis=0)
+    return sums, np.cumsum(np.r_[0, window[1:] != window[:-1]]), row
+
+
+def document_windows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A window for each document: the distinct words of both sides."""
+    keys = []
+    for s, side in enumerate(SIDES):
+        ids, sizes = _flat(batch[f"{side}_ids"])
+        keys.append(np.repeat(np.arange(len(batch)), sizes) << 32 | s << 31 | ids)
+    pairs = np.unique(np.concatenate(keys))
+    ids = pairs & 0x7FFFFFFF
+    return _windows(ids, (pairs >> 31 & 1) * BUCKETS + (ids & (BUCKETS - 1)), pairs >> 32)
+
+
+def linked_windows(batch: pd.DataFrame, vectors: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A window for each pair of sentences that the present vectors link: the words of both."""
+    parts, sides, sizes = [], [], []
+    for fi, fl, mi, ml in zip(*(batch[f"{side}_{part}"] for side in SIDES for part in ("ids", "lens"))):
+        links = align(vectors, (fi, fl), (mi, ml))
+        if links:
+            ends = np.cumsum(fl), np.cumsum(ml)
+            for i, j, _ in links:
+                for s, (ids, lens, k) in enumerate(((fi, fl, i), (mi, ml, j))):
+                    parts.append(ids[ends[s][k] - lens[k] : ends[s][k]])
+                    sides.append(s)
+                    sizes.append(lens[k])
+    if not parts:
+        return _windows(*[np.empty(0, np.int64)] * 3)
+    ids = np.concatenate(parts).astype(np.int64)
+    row = np.repeat(np.array(sides), sizes) * BUCKETS + (ids & (BUCKETS - 1))
+    at = vectors.place[row]
+    return _windows(ids, row, np.repeat(np.arange(len(parts)) // 2, sizes), vectors.weight[at])
+
+
+def trained(spark: SparkSession, words: DataFrame) -> Vectors:
+    """Skip-gram vectors with negative sampling, fitted on all documents.
+
+    A word is to tell the words of its window, on both sides. The output
+    vectors are frozen random directions, one for each spelling; then the
+    gradient of the loss from a standing start is a sum over all windows, the
+    negative samples taken at their mean, and a step is one pass over the data.
+    The window of the first pass is the whole bilingual document; that of each
+    further one is a sentence with the sentence that the vectors so far link
+    to it, and frequent output words count less there, as in subsampling. After each
+    pass Procrustes turns the French vectors onto the Moore ones. Tables of
+    2 * BUCKETS rows are all that is sent, whatever the corpus holds.
+    """
 
-    partial = documents.select(key, *SIDES).mapInPandas(run, schema)
-    whole = partial.groupBy("side", "word").agg(F.sum("documents").alias("documents"), F.sum("sentences").alias("sentences"), F.collect_list("vector").alias("vector"))
-    return whole.mapInPandas(add, schema)
+    def collected(frame: DataFrame) -> Vectors:
+        vectors = Vectors(frame.toPandas())
+        vectors.rotate()
+        return vectors
 
+    vectors = collected(_gradient(words, document_windows))
+    for _ in range(REFINED):
+        shared = spark.sparkContext.broadcast(vectors)
+        vectors = collected(_gradient(words, lambda batch, shared=shared: linked_windows(batch, shared.value)))
+    return vectors
 
-class Vectors:
-    """Vectors and weights of the words of both languages in one space."""
-
-    def __init__(self, rows: list[tuple[str, str, int, int, bytes]]):
-        whole = next((r for r in rows if r[0] == "" and r[1] == ""), None)
-        self.total = whole[2] if whole else 0
-        mean = np.frombuffer(whole[4], np.float32) / max(1, self.total) if whole else np.zeros(DIM, np.float32)
-        self.index: list[dict[str, int]] = []
-        self.matrix: list[np.ndarray] = []
-        self.weight: list[np.ndarray] = []
-        self.count: list[np.ndarray] = []
-        for side in SIDES:
-            own = [r for r in rows if r[0] == side]
-            sentences = next((r[3] for r in own if r[1] == ""), 1)
-            own = [r for r in own if r[1] != ""]
-            self.index.append({r[1]: k for k, r in enumerate(own)})
-            matrix = np.array([np.frombuffer(r[4], np.float32) - r[2] * mean for r in own], dtype=np.float32).reshape(len(own), DIM)
-            matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-6)
-            few = np.array([r[2] < LEAST_DOCUMENTS for r in own], dtype=bool)
-            matrix[few] = 0
-            self.matrix.append(matrix)
-            self.count.append(np.array([r[2] for r in own], dtype=np.int64))
-            self.weight.append(np.array([math.log((sentences + 1) / r[3]) if r[3] else 0.0 for r in own], dtype=np.float32))
-        self.rare = math.log(100.0)
-        self._rotate()
-
-    def _rotate(self) -> None:
-        """Orthogonal Procrustes: turn the French space onto the Moore one by seed pairs.
-
-        Seeds are words spelt alike in both languages (names) and mutual
-        nearest words.
-        """
-        a, b = self.matrix
-        often = [np.flatnonzero(c >= 2 * LEAST_DOCUMENTS) for c in self.count]
-        pairs = {(i, self.index[1][w]) for w, i in self.index[0].items() if w in self.index[1] and min(self.count[0][i], self.count[1][self.index[1][w]]) >= 2 * LEAST_DOCUMENTS and not w.isdigit()}
-        if len(often[0]) and len(often[1]):
-            forward = np.concatenate([(a[part] @ b[often[1]].T).argmax(axis=1) for part in np.array_split(often[0], max(1, len(often[0]) // 1000))])
-            backward = np.concatenate([(b[part] @ a[often[0]].T).argmax(axis=1) for part in np.array_split(often[1], max(1, len(often[1]) // 1000))])
-            for x, y in enumerate(forward):
-                if backward[y] == x and a[often[0][x]] @ b[often[1][y]] > 0.6:
-                    pairs.add((int(often[0][x]), int(often[1][y])))
-        self.seeds = len(pairs)
-        if pairs:
-            x, y = np.array([a[i] for i, _ in sorted(pairs)]), np.array([b[j] for _, j in sorted(pairs)])
-            self.matrix[0] = (a @ rotation(x, y)).astype(np.float32)
-
-    def embed(self, side: int, sentences: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """(words, sentence of each word, vectors, weights) of a document side; a word counts once a sentence."""
-        flat, owner = [], []
-        for k, sentence in enumerate(sentences):
-            for w in dict.fromkeys(sentence):
-                flat.append(w)
-                owner.append(k)
-        at = np.array([self.index[side].get(w, -1) for w in flat], dtype=np.int64)
-        known = at >= 0
-        vectors = np.zeros((len(flat), DIM), np.float32)
-        vectors[known] = self.matrix[side][at[known]]
-        weights = np.full(len(flat), self.rare, np.float32)
-        weights[known] = self.weight[side][at[known]]
-        return flat, np.array(owner, dtype=np.int64), vectors, weights
-
-
-def likeness(vectors: Vectors, first: list[list[str]], second: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Share of each first sentence that each second one holds, and the other way round.
-
-    Sentences are compared word by word in the shared space: each word counts,
-    by its rarity, as much as its most similar word on the other side; words
-    spelt alike are the same.
+
+def _coarser(rows: np.ndarray) -> np.ndarray:
+    """Every two neighbouring sentences as one."""
+    return np.add.reduceat(rows, np.arange(0, len(rows), 2), axis=0)
+
+
+def _square(rows: np.ndarray) -> np.ndarray:
+    return np.maximum(np.einsum("ij,ij->i", rows, rows), 1e-9)
+
+
+def warp(a: np.ndarray, b: np.ndarray, least: float = PATH_LEAST) -> list[tuple[int, int, float]]:
+    """(first, second, share) of the sentences linked on the best monotone path, found from coarse to fine.
+
+    The path of the halved problem bounds the finer one: likenesses are made
+    within its band only, so the work grows with the length and not with its
+    square. A step takes a sentence of both sides, or one of a side that joins
+    the other side's last sentence or has no counterpart (at the cost of a link
+    just too weak).
     """
-    a, fa, va, wa = vectors.embed(0, first)
-    b, fb, vb, wb = vectors.embed(1, second)
-    same = va @ vb.T
-    same[same < WORD_LEAST] = 0
-    places: dict[str, list[int]] = {}
-    for j, w in enumerate(b):
-        places.setdefault(w, []).append(j)
-    for i, w in enumerate(a):
-        if w in places:
-            same[i, places[w]] = 1.0
-    starts_a = np.flatnonzero(np.r_[True, fa[1:] != fa[:-1]])
-    starts_b = np.flatnonzero(np.r_[True, fb[1:] != fb[:-1]])
-    into_b = np.maximum.reduceat(same, starts_b, axis=1)
-    into_a = np.maximum.reduceat(same, starts_a, axis=0)
-    left = np.add.reduceat(into_b * wa[:, None], starts_a, axis=0) / np.maximum(np.add.reduceat(wa, starts_a), 1e-6)[:, None]
-    right = np.add.reduceat(into_a * wb[None, :], starts_b, axis=1) / np.maximum(np.add.reduceat(wb, starts_b), 1e-6)[None, :]
-    return left, right
-
-
-def warp(cost: np.ndarray, radius: int = 3) -> list[tuple[int, int]]:
-    """Coarse-to-fine time warping: the path of the halved problem, widened by ``radius``, bounds the fine one."""
-    n, m = cost.shape
-    if min(n, m) <= radius + 2:
-        band = np.ones((n, m), bool)
+    return [(i, j, s) for i, j, s in _path(a, b, least) if s >= least]
+
+
+def _path(a: np.ndarray, b: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    n, m = len(a), len(b)
+    if min(n, m) <= WHOLE:
+        low, high = [0] * n, [m] * n
     else:
-        rows, columns = np.arange(0, n, 2), np.arange(0, m, 2)
-        coarse = np.minimum.reduceat(np.minimum.reduceat(cost, rows, axis=0), columns, axis=1)
-        band = np.zeros((n, m), bool)
-        for i, j in warp(coarse, radius):
-            band[max(0, 2 * i - radius) : 2 * i + 2 + radius, max(0, 2 * j - radius) : 2 * j + 2 + radius] = True
-    best = np.full((n + 1, m + 1), np.inf)
-    best[0, 0] = 0
+        low, high = [m] * n, [0] * n
+        for i, j, _ in _path(_coarser(a), _coarser(b), least):
+            for r in range(max(0, 2 * i - RADIUS), min(n, 2 * i + 2 + RADIUS)):
+                low[r], high[r] = min(low[r], max(0, 2 * j - RADIUS)), max(high[r], min(m, 2 * j + 2 + RADIUS))
+        for i in range(n):  # the band is one piece from corner to corner
+            low[i] = 0 if i == 0 else min(low[i], high[i - 1])
+            high[i] = max(high[i], low[i] + 1, high[i - 1] if i else 0)
+        high[-1] = m
+        for i in range(n - 2, -1, -1):
+            low[i] = min(low[i], low[i + 1])
+            high[i] = max(high[i], low[i + 1] + 1)
+    gap, far = 1.0 - least, math.inf
+    sizes = _square(a), _square(b)
+    like = [np.minimum(1.0, b[low[i] : high[i]] @ a[i] / np.minimum(sizes[0][i], sizes[1][low[i] : high[i]])).tolist() for i in range(n)]
+    # before[j - low]: best cost with the sentences before i of one side and before j of the other taken
+    steps: list[list[int]] = []
+    above, above_low = [gap * j for j in range(high[0] + 1)], 0
     for i in range(n):
-        for j in np.flatnonzero(band[i]):
-            best[i + 1, j + 1] = cost[i, j] + min(best[i, j], best[i, j + 1], best[i + 1, j])
-    path, i, j = [], n, m
-    while i > 0 and j > 0:
-        path.append((i - 1, j - 1))
-        step = min((best[i - 1, j - 1], 0), (best[i - 1, j], 1), (best[i, j - 1], 2))[1]
-        i, j = i - (step != 2), j - (step != 1)
-    return path[::-1]
-
-
-def align(vectors: Vectors, french: list[str | None] | None, moore: list[str | None] | None) -> list[tuple[int, int, float]]:
-    """(french_no, moore_no, score) of the elements of a document that translate one another.
-
-    The warping path gives the order of the document; on it and, for what it
-    leaves unaligned, anywhere else, each sentence is linked to the one on the
-    other side that holds most of it (at least SENTENCE_LEAST). So joined and
-    divided sentences get several links, moved ones their true place, and
-    omitted or stray ones none; equal candidates go to the one next to the path.
-    """
-    if french is None or moore is None:
-        return []
-    a = [(i, w) for i, w in ((i, spoken(s)) for i, s in enumerate(french)) if w]
-    b = [(j, w) for j, w in ((j, spoken(s)) for j, s in enumerate(moore)) if w]
-    if not a or not b:
-        return []
-    left, right = likeness(vectors, [w for _, w in a], [w for _, w in b])
-    path = warp(1.0 - np.maximum(left, right))
-    near = np.zeros(left.shape)
-    for i, j in path:
-        near[i, j] = 0.02
-    links = {}
-    for i in range(len(a)):
-        j = int((left[i] + near[i]).argmax())
-        if left[i, j] >= SENTENCE_LEAST:
-            links[i, j] = max(left[i, j], right[i, j])
-    for j in range(len(b)):
-        i = int((right[:, j] + near[:, j]).argmax())
-        if right[i, j] >= SENTENCE_LEAST:
-            links[i, j] = max(left[i, j], right[i, j])
-    return [(a[i][0], b[j][0], round(float(s), 4)) for (i, j), s in sorted(links.items())]
+        start, row, own, step = low[i], [far] * (high[i] - low[i] + 1), like[i], []
+        upto = above_low + len(above)
+        row[0] = above[start - above_low] + gap if start < upto else far
+        for k in range(high[i] - start):
+            j = start + k
+            cost = 1.0 - own[k]
+            weak = cost if cost < gap else gap
+            best, kind = (above[j - above_low] + cost, 0) if j < upto else (far, 0)
+            if j + 1 < upto and above[j + 1 - above_low] + weak < best:
+                best, kind = above[j + 1 - above_low] + weak, 1
+            if row[k] + weak < best:
+                best, kind = row[k] + weak, 2
+            row[k + 1] = best
+            step.append(kind)
+        steps.append(step)
+        above, above_low = row, start
+    out, i, j = [], n - 1, m - 1
+    while i >= 0 and j >= 0:
+        k = j - low[i]
+        if k < 0:
+            i -= 1
+            continue
+        out.append((i, j, like[i][k]))
+        kind = steps[i][k]
+        i, j = i - (kind != 2), j - (kind != 1)
+    return out[::-1]
+
+
+def rematch(a: np.ndarray, b: np.ndarray, links: dict[tuple[int, int], float], least: float = REMATCH_LEAST) -> None:
+    """Give each sentence that the path left unaligned its most alike one anywhere, if alike enough: moved sentences."""
+    for one, other, turned in ((a, b, False), (b, a, True)):
+        taken = {j if turned else i for i, j in links}
+        open_ = [i for i in range(len(one)) if i not in taken]
+        for part in np.array_split(np.array(open_, dtype=np.int64), len(open_) // 256 + 1):
+            like = np.minimum(1.0, one[part] @ other.T / np.minimum(_square(one[part])[:, None], _square(other)))
+            for i, j, s in zip(part.tolist(), like.argmax(axis=1).tolist(), like.max(axis=1).tolist()):
+                if s >= least:
+                    links[(j, i) if turned else (i, j)] = s
+
+
+def align(vectors: Vectors, first: tuple, second: tuple) -> list[tuple[int, int, float]]:
+    """(first_no, second_no, score) of the elements that translate one another; a side is (word ids, words of each element)."""
+    sides = []
+    for s, (ids, lens) in enumerate((first, second)):
+        lens = np.asarray(lens if lens is not None else (), dtype=np.int64)
+        at = np.flatnonzero(lens)
+        if not len(at):
+            return []
+        sides.append((at, vectors.sentences(s, np.asarray(ids, dtype=np.int64), lens[at])))
+    (at_a, a), (at_b, b) = sides
+    links = {(i, j): s for i, j, s in warp(a, b)}
+    rematch(a, b, links)
+    return [(int(at_a[i]), int(at_b[j]), round(float(s), 4)) for (i, j), s in sorted(links.items())]
 
 
 def sentence_pairs(spark: SparkSession, documents: DataFrame, key: str = "pt_id") -> DataFrame:
     """(key, french_no, moore_no, score): translated elements of each document, 0-based places in the arrays as stored.
 
-    ``documents`` has one row per key; rows without one are left out. Two passes: the first sums the word
-    vectors over all documents (pre-aggregated, one small shuffle), the second
-    aligns each document by itself. Null arrays and null, blank or stray
-    elements have no counterpart; the vectors of the most frequent VOCABULARY
-    words a side (at most 100 MB) are broadcast, rarer words count when both
-    sides spell them alike.
+    ``documents`` has one row per key; rows without one are left out. The
+    word ids of all documents are written to a checkpoint once; skip-gram
+    vectors are trained on them (see ``trained``) and the French ones turned
+    onto the Moore ones; then each document is aligned by itself: the warping
+    path links what keeps its order, joined and divided sentences included, and
+    what it leaves unaligned is matched again without order. Null arrays and
+    null, blank or stray elements have no counterpart. Vectors of all words
+    are broadcast in two tables of BUCKETS rows (at most 100 MB).
     """
-    documents = documents.where(F.col(key).isNotNull())
-    sums = cut_lineage(word_sums(documents, key))
-    rows = [tuple(r) for r in sums.where("side = '' or word = ''").collect()]
-    for side in SIDES:
-        own = sums.where((F.col("side") == side) & (F.col("word") != "") & (F.col("documents") > 1))
-        rows += [tuple(r) for r in own.orderBy(F.desc("documents"), "word").limit(VOCABULARY).collect()]
-    shared = spark.sparkContext.broadcast(Vectors(rows))
+    words = cut_lineage(worded(spread(documents.where(F.col(key).isNotNull())), key))
+    shared = spark.sparkContext.broadcast(trained(spark, words))
     schema = f"`{key}` {documents.schema[key].dataType.simpleString()}, french_no int, moore_no int, score double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(k, *link) for k, f, m in zip(batch[key], batch["french"], batch["moore"]) for link in align(shared.value, f, m)]
+            columns = [batch[f"{side}_{part}"] for side in SIDES for part in ("ids", "lens")]
+            out = [(k, *link) for k, fi, fl, mi, ml in zip(batch[key], *columns) for link in align(shared.value, (fi, fl), (mi, ml))]
             yield pd.DataFrame(out, columns=[key, "french_no", "moore_no", "score"])
 
-    return spread(documents.select(key, *SIDES)).mapInPandas(run, schema)
+    return words.mapInPandas(run, schema)

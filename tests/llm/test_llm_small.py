@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,20 +276,45 @@ def test_few_seeds_turn_the_space_a_little():
     assert np.allclose(bitext.rotation(unit(0), unit(0)), np.eye(bitext.DIM)) and np.all(np.diff(likeness) > 0) and likeness[-1] > 0.999
     shared = [f"nom{k}" for k in range(60)]
     base = unit(60)
-    rows = [(side, w, 20, 20, (base[k] @ (turn if side == "moore" else np.eye(bitext.DIM))).astype(np.float32).tobytes()) for side in bitext.SIDES for k, w in enumerate(shared)]
-    vectors = bitext.Vectors(rows)
-    before, after = (base * (base @ turn)).sum(), (vectors.matrix[0] * vectors.matrix[1]).sum()
-    assert vectors.seeds < 2 * bitext.DIM and after > before
+    lines = [(side * bitext.BUCKETS + 7 * k, 20, 20, (base[k] @ (turn if side else np.eye(bitext.DIM))).astype(np.float32).tobytes()) for side in (0, 1) for k in range(len(shared))]
+    lines.append((-1, 1000, 4000, np.zeros(bitext.DIM, np.float32).tobytes()))
+    vectors = bitext.Vectors(pd.DataFrame(lines, columns=["row", "windows", "sentences", "vector"]))
+    first, second = vectors.side == 0, vectors.side == 1
+    before = (vectors.matrix[first] * vectors.matrix[second]).sum()
+    seeds = vectors.rotate()
+    assert 0 < seeds < 2 * bitext.DIM and (vectors.matrix[first] * vectors.matrix[second]).sum() > before
 
 
 def test_warping_path():
     rng = np.random.default_rng(7)
-    for n, m in [(1, 1), (2, 9), (17, 12), (40, 41)]:
-        path = bitext.warp(rng.random((n, m)))
-        assert path[0] == (0, 0) and path[-1] == (n - 1, m - 1)
+    for n, m in [(1, 1), (2, 9), (17, 12), (40, 41), (200, 150)]:
+        a, b = rng.normal(size=(n, 64)), rng.normal(size=(m, 64))
+        path = [(i, j) for i, j, _ in bitext._path(a, b, 0.5)]
+        assert path[-1] == (n - 1, m - 1) and 0 in path[0]
         assert all((c - a, d - b) in {(1, 0), (0, 1), (1, 1)} for (a, b), (c, d) in zip(path, path[1:]))
-    diagonal = 1.0 - np.eye(30)
-    assert bitext.warp(diagonal) == [(i, i) for i in range(30)]
+    rows = rng.normal(size=(120, 64))
+    assert [(i, j) for i, j, _ in bitext.warp(rows, rows)] == [(i, i) for i in range(120)]
+    left_out = np.delete(rows, [30, 31, 77], axis=0)
+    kept = [i for i in range(120) if i not in (30, 31, 77)]
+    assert [(i, j) for i, j, _ in bitext.warp(rows, left_out)] == [(i, j) for j, i in enumerate(kept)]
+    joined = np.concatenate([rows[:10], rows[10:12].sum(axis=0, keepdims=True), rows[12:]])
+    assert {(10, 10), (11, 10), (12, 11)} <= {(i, j) for i, j, _ in bitext.warp(rows, joined)}
+
+
+def test_the_path_decides_between_equal_sentences_and_rematch_recovers_moved_ones():
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(9, 64))
+    rows[6] = rows[2]  # one sentence twice: only the order tells which is meant
+    links = {(i, j): s for i, j, s in bitext.warp(rows, rows)}
+    assert set(links) == {(i, i) for i in range(9)}
+    alone: dict = {}
+    bitext.rematch(rows, rows, alone)
+    assert (6, 6) not in alone and (6, 2) in alone
+    moved = rows[[4, 0, 1, 2, 3, 5, 6, 7, 8]]
+    links = {(i, j): s for i, j, s in bitext.warp(rows, moved)}
+    assert (4, 0) not in links
+    bitext.rematch(rows, moved, links)
+    assert links[4, 0] > 0.99 and len(links) == 9
 
 
 # --- scans ----------------------------------------------------------------------------------------------------------
