@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ PATH_LEAST, REMATCH_LEAST = 0.55, 0.65
 WEIGHT_MOST = 5.0
 #: Half width of the band around the coarser path, and length below which a problem is solved whole.
 RADIUS, WHOLE = 4, 12
+#: Documents, and words, that a task handles at once.
+PART, BLOCK = 64, 1 << 16
 #: Words with a letter that a sentence must have; shorter elements are page marks and the like.
 LEAST_WORDS = 3
 SIDES = ("french", "moore")
@@ -177,21 +180,24 @@ class Vectors:
         self.matrix[first] = (self.matrix[first] @ turn).astype(np.float32)
         return len(pairs)
 
-    def look(self, side: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(vectors, weights) of word ids; a rare word has the direction of its spelling, the same on both sides."""
+    @cached_property
+    def weighted(self) -> np.ndarray:
+        return self.matrix * self.weight[:, None]
+
+    def look(self, side: int, ids: np.ndarray) -> np.ndarray:
+        """Vectors of word ids by their weights; a rare word has the direction of its spelling, the same on both sides."""
         at = self.place[side * BUCKETS + (ids & (BUCKETS - 1))]
-        known = (at >= 0) & self.often[at] if len(self.often) else np.zeros(len(ids), bool)
-        vectors = np.empty((len(ids), DIM), np.float32)
-        vectors[known] = self.matrix[at[known]]
-        vectors[~known] = signs(ids[~known])
-        weights = np.full(len(ids), WEIGHT_MOST, np.float32)
-        weights[known] = self.weight[at[known]]
-        return vectors, weights
+        if not len(self.often):
+            return signs(ids) * np.float32(WEIGHT_MOST)
+        vectors = self.weighted[at]
+        rare = np.flatnonzero((at < 0) | ~self.often[at])
+        if len(rare):
+            vectors[rare] = signs(ids[rare]) * np.float32(WEIGHT_MOST)
+        return vectors
 
     def sentences(self, side: int, ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        """Vector of each sentence: its words' vectors by their weights. No element may be empty."""
-        vectors, weights = self.look(side, ids)
-        return np.add.reduceat(vectors * weights[:, None], np.cumsum(lens) - lens, axis=0)
+        """Vector of each sentence: the sum of its words' vectors. No element may be empty."""
+        return np.add.reduceat(self.look(side, ids), np.cumsum(lens) - lens, axis=0)
 
 
 def _gradient(words: DataFrame, windows: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
@@ -212,7 +218,7 @@ def _gradient(words: DataFrame, windows: Callable[[pd.DataFrame], tuple[np.ndarr
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals, counts = np.zeros((size, DIM), np.float32), np.zeros((size, 2), np.int64)
-        for batch in batches:
+        for batch in (whole[k : k + PART] for whole in batches for k in range(0, len(whole), PART)):
             for s, side in enumerate(SIDES):
                 ids, _ = _flat(batch[f"{side}_ids"])
                 counts[:, 1] += np.bincount(s * BUCKETS + (ids & (BUCKETS - 1)), minlength=size)
@@ -223,10 +229,8 @@ def _gradient(words: DataFrame, windows: Callable[[pd.DataFrame], tuple[np.ndarr
             totals[-1] += sums.sum(axis=0)
             counts[-1, 0] += len(sums)
             order = np.argsort(row, kind="stable")
-            window, row = window[order], row[order]
-            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            totals[row[first]] += np.add.reduceat(sums[window], first, axis=0)
-            counts[row[first], 0] += np.diff(np.r_[first, len(row)])
+            _add_up(sums, window[order], row[order], totals)
+            counts[:, 0] += np.bincount(row, minlength=size)
         yield lines(totals, counts)
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,13 +245,29 @@ def _gradient(words: DataFrame, windows: Callable[[pd.DataFrame], tuple[np.ndarr
     return words.mapInPandas(run, schema).repartition(parts, "row").mapInPandas(add, schema)
 
 
-def _windows(ids: np.ndarray, row: np.ndarray, window: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of the output vectors of each window's words, and the distinct (window, row) pairs; ``window`` is ascending."""
-    if not len(ids):
-        return np.zeros((0, DIM), np.float32), window, row
-    outputs = signs(ids) if weight is None else signs(ids) * weight[:, None]
-    sums = np.add.reduceat(outputs, np.flatnonzero(np.r_[True, window[1:] != window[:-1]]), axis=0)
-    return sums, np.cumsum(np.r_[0, window[1:] != window[:-1]]), row
+def _add_up(rows: np.ndarray, taken: np.ndarray, owner: np.ndarray, out: np.ndarray) -> None:
+    """Add ``rows[taken]`` to ``out[owner]``, block by block; ``owner`` is ascending."""
+    for k in range(0, len(owner), BLOCK):
+        own = owner[k : k + BLOCK]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        out[own[first]] += np.add.reduceat(rows[taken[k : k + BLOCK]], first, axis=0)
+
+
+def _windows(words: np.ndarray, window: np.ndarray, weigh: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the output vectors of each window's words, and the (window, row) pairs.
+
+    A word is its id with the side above it; ``window`` ascends and ``weigh``
+    gives the weights of rows.
+    """
+    forms, at = np.unique(words, return_inverse=True)
+    rows = (forms >> 31) * BUCKETS + (forms & (BUCKETS - 1))
+    outputs = signs(forms & 0x7FFFFFFF)
+    if weigh is not None:
+        outputs *= weigh(rows)[:, None]
+    window = np.cumsum(np.r_[0, window[1:] != window[:-1]]) if len(window) else window
+    sums = np.zeros((int(window[-1]) + 1 if len(window) else 0, DIM), np.float32)
+    _add_up(outputs, at, window, sums)
+    return sums, window, rows[at]
 
 
 def document_windows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,28 +277,21 @@ def document_windows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.nd
         ids, sizes = _flat(batch[f"{side}_ids"])
         keys.append(np.repeat(np.arange(len(batch)), sizes) << 32 | s << 31 | ids)
     pairs = np.unique(np.concatenate(keys))
-    ids = pairs & 0x7FFFFFFF
-    return _windows(ids, (pairs >> 31 & 1) * BUCKETS + (ids & (BUCKETS - 1)), pairs >> 32)
+    return _windows(pairs & 0xFFFFFFFF, pairs >> 32)
 
 
 def linked_windows(batch: pd.DataFrame, vectors: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A window for each pair of sentences that the present vectors link: the words of both."""
-    parts, sides, sizes = [], [], []
+    parts, sizes = [np.empty(0, np.int64)], []
     for fi, fl, mi, ml in zip(*(batch[f"{side}_{part}"] for side in SIDES for part in ("ids", "lens"))):
         links = align(vectors, (fi, fl), (mi, ml))
         if links:
+            fi, mi = np.asarray(fi, np.int64), np.asarray(mi, np.int64) | 1 << 31
             ends = np.cumsum(fl), np.cumsum(ml)
             for i, j, _ in links:
-                for s, (ids, lens, k) in enumerate(((fi, fl, i), (mi, ml, j))):
-                    parts.append(ids[ends[s][k] - lens[k] : ends[s][k]])
-                    sides.append(s)
-                    sizes.append(lens[k])
-    if not parts:
-        return _windows(*[np.empty(0, np.int64)] * 3)
-    ids = np.concatenate(parts).astype(np.int64)
-    row = np.repeat(np.array(sides), sizes) * BUCKETS + (ids & (BUCKETS - 1))
-    at = vectors.place[row]
-    return _windows(ids, row, np.repeat(np.arange(len(parts)) // 2, sizes), vectors.weight[at])
+                parts += [fi[ends[0][i] - fl[i] : ends[0][i]], mi[ends[1][j] - ml[j] : ends[1][j]]]
+                sizes.append(fl[i] + ml[j])
+    return _windows(np.concatenate(parts), np.repeat(np.arange(len(sizes)), sizes), lambda rows: vectors.weight[vectors.place[rows]])
 
 
 def trained(spark: SparkSession, words: DataFrame) -> Vectors:
