@@ -398,6 +398,34 @@ def test_one_run_of_half_the_words_is_a_leak_whatever_its_weight(spark):
     assert {tuple(r) for r in leaks.leaked_items(spark, documents, held_out, ("french",)).collect()} == {(0, 0)}
 
 
+def test_items_with_the_same_short_passage_and_slips_in_every_fourth_word(spark):
+    rng = random.Random(12)
+    vocabulary = [f"{a}{b}" for a in WORDS for b in ("na", "vo", "shi", "ke")]
+    passages = [" ".join(rng.sample(vocabulary, 40)) for _ in range(3)]
+    items = [(1, "oui chef"), (2, "Oui, chef !")] + [(k, p) for k, p in enumerate(passages, 3)]
+    misspelt = " ".join(w + "zz" if n % 4 == 3 else w for n, w in enumerate(passages[0].split()))
+    tokens = passages[1].split()
+    turned = " ".join(tokens[20:30] + ["loin"] + tokens[5:20] + tokens[30:35])
+    docs = [(0, "Elle dit oui, chef."), (1, "Avant " + misspelt + " après"), (2, turned), (3, " ".join(tokens[:12]))]
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    held_out = spark.createDataFrame(items, "item_id bigint, french string")
+    found = lambda **more: {tuple(r) for r in leaks.leaked_items(spark, documents, held_out, ("french",), **more).collect()}
+    assert found() == found(block=1) == {(0, 1), (0, 2), (1, 3)}
+    assert found(ordered=False) == {(0, 1), (0, 2), (1, 3), (2, 4)}
+
+
+def test_the_block_of_a_passage_changes_nothing(spark):
+    rng = random.Random(13)
+    common = [f"mot{k}" for k in range(60)]
+    first = rng.sample(common, 40)
+    items = [(0, " ".join(first))] + [(k, " ".join(rng.sample(common, 40))) for k in range(1, 49)]
+    scattered = [w for k, w in enumerate(first) if k % 9 < 5][:22]
+    documents = spark.createDataFrame([(0, " ".join(scattered))], "doc_id bigint, text string")
+    held_out = spark.createDataFrame(items, "item_id bigint, french string")
+    answers = [{tuple(r) for r in leaks.leaked_items(spark, documents, held_out, ("french",), block=b).collect()} for b in (1, 7, 1000)]
+    assert answers[0] == answers[1] == answers[2]
+
+
 def test_runs_are_found_by_rolling_hashes():
     rng = random.Random(4)
     for _ in range(50):
