@@ -157,8 +157,8 @@ def held(item: np.ndarray, part: np.ndarray, gap: int = GAP) -> np.ndarray:
     return held_and_tiled(item, part, gap)[0]
 
 
-def held_and_tiled(item: np.ndarray, part: np.ndarray, gap: int = GAP, hashes: tuple[list[int], list[int]] | None = None) -> tuple[np.ndarray, int]:
-    """Mask of the words of ``item`` that ``part`` holds in their order, slips aside, and how many of them are in tiles.
+def held_and_tiled(item: np.ndarray, part: np.ndarray, gap: int = GAP, hashes: tuple[list[int], list[int]] | None = None) -> tuple[np.ndarray, int, int]:
+    """Mask of the words of ``item`` that ``part`` holds in their order, slips aside, how many of them are in tiles, and in how many.
 
     The tiles are chained in order in both texts (heaviest chain), with at most
     ``gap`` words of the passage and twice as many added ones between two of
@@ -168,7 +168,7 @@ def held_and_tiled(item: np.ndarray, part: np.ndarray, gap: int = GAP, hashes: t
     mask = np.zeros(len(item), bool)
     chain = sorted(tiles(item, part, TILE, hashes))
     if not chain:
-        return mask, 0
+        return mask, 0, 0
     best: list[int] = []
     back: list[tuple[int, int]] = []
     for n, (i, j, k) in enumerate(chain):
@@ -182,20 +182,20 @@ def held_and_tiled(item: np.ndarray, part: np.ndarray, gap: int = GAP, hashes: t
                     score, step = best[m] + k + slips, (m, slips)
         best.append(score)
         back.append(step)
-    n, tiled = max(range(len(best)), key=best.__getitem__), 0
+    n, tiled, number = max(range(len(best)), key=best.__getitem__), 0, 0
     _reach(item, part, chain[n][0] + chain[n][2], chain[n][1] + chain[n][2], 1, gap, mask)
     while n >= 0:
         if back[n][0] < 0:
             _reach(item, part, chain[n][0] - 1, chain[n][1] - 1, -1, gap, mask)
         i, _, k = chain[n]
         mask[i : i + k] = True
-        tiled += k
+        tiled, number = tiled + k, number + 1
         m, slips = back[n]
         if m >= 0:
             end = chain[m][0] + chain[m][2]
             mask[end : end + slips] = True
         n = m
-    return mask, tiled
+    return mask, tiled, number
 
 
 def _covered(item: np.ndarray, part: np.ndarray, least: int = SEED) -> int:
@@ -306,8 +306,9 @@ def _scan(passages: Passages, texts: list[str | None], memo: WordIds, share: flo
         inside = _inside(passages.pairs[p], pairs[d][max(0, a) : max(0, b - 1)])
         if inside * (passages.seed + 1) < share * size * passages.seed - passages.seed or inside + 2 * (len(part) - np.count_nonzero(part)) < share * size:
             continue
-        mask, tiled = held_and_tiled(passages.ids[p], part, gap, (passages.rolled[p], rolled[d][max(0, a) : max(0, b - TILE + 1)]))
-        if (mask.sum() - tiled) * (passages.seed + 1) > mask.sum() + passages.seed:  # more slips than one in seed + 1 words, one at an end aside
+        mask, tiled, number = held_and_tiled(passages.ids[p], part, gap, (passages.rolled[p], rolled[d][max(0, a) : max(0, b - TILE + 1)]))
+        # more slips, or breaks between tiles, than one in seed + 1 words, one at an end aside
+        if max(mask.sum() - tiled, number - 1) * (passages.seed + 1) > mask.sum() + passages.seed:
             continue
         weight = passages.weight[passages.ids[p]]
         # scattered coincidences are made of words that every passage has: unless one run is enough, the held words must weigh something too
