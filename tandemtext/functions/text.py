@@ -49,9 +49,9 @@ def straight_quotes(text: Column) -> Column:
 
 
 def normalize_french(text: Column) -> Column:
-    """Straight double quotes, no blank before closing punctuation nor after an opening guillemet."""
-    out = F.regexp_replace(straight_quotes(text), r"\s+([!?:;».,])", "$1")
-    return strip(F.regexp_replace(F.regexp_replace(out, r"«\s+", "«"), r" {2,}", " "))
+    """Straight double quotes, no blank before closing punctuation nor after an opening guillemet; line breaks and tabs stay."""
+    out = F.regexp_replace(straight_quotes(text), r" +([!?:;».,])", "$1")
+    return strip(F.regexp_replace(F.regexp_replace(out, r"« +", "«"), r" {2,}", " "))
 
 
 def normalize_moore(text: Column) -> Column:
@@ -59,10 +59,24 @@ def normalize_moore(text: Column) -> Column:
     return strip(F.regexp_replace(straight_quotes(text), r" {2,}", " "))
 
 
+#: Clitics before which a hyphen at a line end stays.
+CLITICS = ("ce", "il", "ils", "elle", "elles", "on", "je", "tu", "nous", "vous", "le", "la", "les", "lui", "y", "en", "t", "ci", "là", "moi", "toi", "soi")
+#: Base letters and combining marks of the composed letters that French and Moore are written with.
+_COMPOSED = {unicodedata.normalize("NFD", c): c for c in map(chr, range(0xC0, 0x250)) if len(unicodedata.normalize("NFD", c)) == 2}
+_COMPOSED |= {unicodedata.normalize("NFD", c): c for c in "ẼẽṼṽỸỹ"}
+
+
+def composed(text: Column) -> Column:
+    """Letters followed by one combining mark become the composed letter (NFC for the letters of French and Moore)."""
+    pairs = F.create_map(*[F.lit(x) for pair in _COMPOSED.items() for x in pair])
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s)[A-Za-z][\u0300-\u036f]|."), F.lit(0))
+    return F.when(text.rlike(r"[\u0300-\u036f]"), F.array_join(F.transform(pieces, lambda p: F.coalesce(F.element_at(pairs, p), p)), "")).otherwise(text)
+
+
 def typeset_french(text: Column) -> Column:
-    """Book text: straight quotes, lines joined (a hyphen stays before a clitic), a blank before tall marks."""
-    out = F.translate(text, "‘’“”‟„", "''\"\"\"\"")
-    out = F.regexp_replace(out, r"-\s*\n\s*(?=(?:je|tu|il|elle|on|nous|vous|ils|elles|ce|là|ci|moi|toi|lui|leur|le|la|les|y|en|même|mêmes)\b)", "-")
+    """Book text: composed letters, straight quotes, lines joined (a hyphen stays before a clitic), a blank before tall marks."""
+    out = F.translate(composed(text), "‘’“”‟„", "''\"\"\"\"")
+    out = F.regexp_replace(out, rf"-\s*\n\s*(?=(?:{'|'.join(CLITICS)})\b)", "-")
     out = F.regexp_replace(out, r"(?<=\p{L})-\s*\n\s*(?=\p{Ll})", "")
     out = F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\s*([!?:;])", " $1")
     return strip(F.regexp_replace(out, r"\n{2,}", "\n"))
@@ -70,7 +84,7 @@ def typeset_french(text: Column) -> Column:
 
 def typeset_moore(text: Column) -> Column:
     """As :func:`typeset_french`, but every hyphen at a line end joins its word."""
-    out = F.translate(text, "‘’“”‟„", "''\"\"\"\"")
+    out = F.translate(composed(text), "‘’“”‟„", "''\"\"\"\"")
     out = F.regexp_replace(F.regexp_replace(out, r"-\s*\n\s*", ""), r"[ \t]+", " ")
     return strip(F.regexp_replace(out, r"\n{2,}", "\n"))
 
@@ -125,26 +139,34 @@ def one_line(text: Column, keep_single: bool = False) -> Column:
     return strip(F.regexp_replace(text, r"\s*\n\s*", " "))
 
 
+#: Furniture of dictionary pages (letter marks, page numbers, lone hyphens, counters, time stamps, file links, the
+#: running title), blanks after a hyphen, and what takes their place.
+DICTIONARY_NOISE = (
+    (r"\b[A-Z]\s+[a-z]\b", ""),
+    (r"(?m)^[ \t]*\d+[ \t]*$", ""),
+    (r"(?m)^[ \t]*-[ \t]*$", ""),
+    (r"(\w)- +(\w)", "$1-$2"),
+    (r"(?i)\b\d+\s+of\s+\d+\b", ""),
+    (r"\b\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}\b", ""),
+    (r"file:///\S+", ""),
+    (r"(?is)Dictionnaire\s+Mooré.*?français.*?English", ""),
+    (r"[ \t]+", " "),
+    (r"\n[ \t]*(?:\n[ \t]*)+", "\n"),
+)
+
+
 def scrub_page(text: Column) -> Column:
-    """Dictionary page without page numbers, counters, time stamps, file links and stray hyphens; ligatures expanded."""
+    """Dictionary page without its furniture; ligatures expanded, a blank after a hyphen inside a word dropped."""
     out = expand_ligatures(text)
-    for pattern, new in (
-        (r"(?m)^[ \t]*\d+[ \t]*$", ""),
-        (r"(?m)^[ \t]*-[ \t]*$", ""),
-        (r"(?U)(\w)- +(\w)", "$1$2"),
-        (r"\b\d+ of \d+\b", ""),
-        (r"\b\d{1,2}/\d{1,2}/\d{2,4},? \d{1,2}:\d{2}(?::\d{2})?(?: [AP]M)?\b", ""),
-        (r"file:///\S+", ""),
-        (r"\t+", " "),
-        (r"\n[ \t]*(?:\n[ \t]*)+", "\n"),
-    ):
-        out = F.regexp_replace(out, pattern, new)
+    for pattern, new in DICTIONARY_NOISE:
+        out = F.regexp_replace(out, f"(?U){pattern}", new)
     return strip(out)
 
 
 def rewrite_variant_stub(text: Column) -> Column:
     """``lemma [tone] unspec. var. of X`` becomes an entry whose French gloss names the variant."""
-    return F.regexp_replace(text, r"(?m)^([^\s\[\n]+)[ \t]*(\[[^\]\n]*\])?[ \t]*unspec\. var\. of[ \t]+([^\n]+?)[ \t]*$", "$1 $2 n Frn (unspec. var. of $3) Eng")
+    pattern = r"(?m)^([^\[\n]+?)\s*(\[[^\]\n]*\])?\s*unspec\.\s*var\.\s*of[ \t]+([^\n(]+?)[ \t]*(?:\([^)\n]*\))?[ \t]*$"
+    return F.regexp_replace(text, pattern, "$1 $2 n Frn (unspec. var. of $3) Eng")
 
 
 def strip_entry_name(text: Column, lemma: Column) -> Column:

@@ -53,18 +53,27 @@ def merge_quotes(sentences: Column) -> Column:
 
     def step(acc: Column, s: Column) -> Column:
         last = F.try_element_at(acc, F.lit(-1))
-        glue = (F.size(acc) > 0) & (_open(last) | strip(s).rlike('^[»”"][.!?,;:]?$'))
+        glue = (F.size(acc) > 0) & (_open(last) | strip(s).isin("»", "”", '"'))
         head = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
         return F.when(glue, F.concat(head, F.array(F.concat(last, F.lit(" "), s)))).otherwise(F.concat(acc, F.array(s)))
 
     return F.aggregate(sentences, _strings(), step)
 
 
+#: Titles before a name and abbreviations before a number, whose full stop ends no sentence; the character that holds a gap.
+TITLES = ("M", "MM", "Mme", "Mmes", "Mlle", "Mgr", "Me", "Dr", "Pr", "Prof", "St", "Ste")
+BEFORE_NUMBER = ("p", "pp", "n", "no", "art", "vol", "chap", "fig", "env")
+HELD = "\ue1ff"
+
+
 def segment(text: Column) -> Column:
     """Sentences of prose: lines joined, cut, quotations kept whole; the whole text where nothing cuts it."""
     flat = join_lines(F.coalesce(text, F.lit("")))
-    parts = not_blank(F.split(F.regexp_replace(flat, r"([.!?]+[\"»”]?)\s+", "$1" + CUT), CUT))
-    return merge_quotes(parts)
+    # titles, initials and what goes on with a small letter or a number keep their full stop
+    held = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(TITLES)}|\p{{Lu}})\.\s+(?=\p{{Lu}})|(?<=\.)\s+(?=\p{{Ll}})|(?<![\p{{L}}\p{{N}}])(?:{'|'.join(BEFORE_NUMBER)})\.\s+(?=\d)"
+    kept = F.regexp_replace(flat, rf"({held})", "$1" + HELD)
+    parts = not_blank(F.split(F.regexp_replace(kept, rf"([.!?]+[\"»”]?)\s+(?![\s{HELD}])", "$1" + CUT), CUT))
+    return merge_quotes(F.transform(parts, lambda p: F.replace(p, F.lit(HELD), F.lit(""))))
 
 
 def language_boundary(units: Column, langs: Column | None = None, end: str = END_OF_MOORE, second: str = "fra_Latn") -> Column:

@@ -70,6 +70,8 @@ def test_merge_quotes(one):
     assert got == ["«a. b»", 'c "d. e" f. »', "g"]
     assert one(segment.segment(C), "t string", "Il est parti. Elle est restée.") == ["Il est parti.", "Elle est restée."]
     assert one(segment.segment(C), "t string", "") == []
+    assert one(segment.merge_quotes(F.col("a")), "a array<string>", ["Oui", "».", "Non"]) == ["Oui", "».", "Non"]
+    assert one(segment.segment(C), "t string", "M. Dupont est venu. Voir p. 12 et J. Zongo. Il dort.") == ["M. Dupont est venu.", "Voir p. 12 et J. Zongo.", "Il dort."]
 
 
 @pytest.mark.parametrize(

@@ -19,6 +19,8 @@ C = F.col("t")
         (T.normalize_french, "“Bonjour”", '"Bonjour"'),
         (T.normalize_french, "Bonjour !", "Bonjour!"),
         (T.normalize_french, "« Bonjour »", "«Bonjour»"),
+        (T.normalize_french, "Oui\n! « Non »", "Oui\n! «Non»"),
+        (T.typeset_french, "a-t-\nil dit-\nelle e\u0301te\u0301", "a-t-il dit-elle été"),
         (T.drop_page_references, "(Yamamori p.70) some text", " some text"),
         (T.drop_page_references, "(top.70)", "(top.70)"),
         (T.plain_forms, "l’un… – “x”", "l'un... - \"x\""),
