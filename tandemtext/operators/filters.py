@@ -7,28 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tandemtext.operators import ranges
 from tandemtext.functions.text import has_copyright, has_url, is_blank, is_number_dots, is_standalone_number
 
 
+def _number(column: str) -> Column:
+    """NaN becomes null: no comparison with it holds."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def at_least(column: str, least: float) -> Column:
-    """Null fails."""
-    return F.coalesce(F.col(column) >= least, F.lit(False))
+    """Null and NaN fail."""
+    return F.coalesce(_number(column) >= least, F.lit(False))
 
 
 def at_least_or_null(column: str, least: float, strict: bool = False) -> Column:
-    """Null passes."""
+    """Null and NaN pass."""
     value = F.col(column)
     return value.isNull() | (value > least if strict else value >= least)
 
 
 def at_least_or_zero(column: str, least: float) -> Column:
-    """Null counts as 0; a least of 0 switches the filter off."""
-    return F.lit(True) if least <= 0 else F.coalesce(F.col(column), F.lit(0.0)) >= least
+    """Null counts as 0 and NaN fails; a least of 0 switches the filter off."""
+    return F.lit(True) if least <= 0 else F.coalesce(_number(column), F.lit(0.0)) >= least
 
 
 def identified(prob: str, lang: str, expected: str, least: float) -> Column:
-    """Language as expected with enough probability; null fails."""
-    return F.coalesce((F.col(prob) >= least) & (F.col(lang) == expected), F.lit(False))
+    """Language as expected with enough probability; null and NaN fail."""
+    return F.coalesce((_number(prob) >= least) & (F.col(lang) == expected), F.lit(False))
 
 
 def free_of(labels: Sequence[str], column: str = "quality_warnings") -> Column:
@@ -37,8 +43,8 @@ def free_of(labels: Sequence[str], column: str = "quality_warnings") -> Column:
 
 
 def language_gate(prob: str, sentence_prob: str, lang: str, expected: str = "mos_Latn", least: float = 0.9) -> Column:
-    """Both probabilities above ``least`` and the label contains ``expected``; null counts as 0 or ''."""
-    return (F.coalesce(F.col(prob), F.lit(0.0)) > least) & (F.coalesce(F.col(sentence_prob), F.lit(0.0)) > least) & F.coalesce(F.col(lang), F.lit("")).contains(expected)
+    """Both probabilities above ``least`` and the label contains ``expected``; null and NaN count as 0 or ''."""
+    return (F.coalesce(_number(prob), F.lit(0.0)) > least) & (F.coalesce(_number(sentence_prob), F.lit(0.0)) > least) & F.coalesce(F.col(lang), F.lit("")).contains(expected)
 
 
 def known(df: DataFrame, stages: dict[str, tuple[str, Column]]) -> dict[str, Column]:
@@ -95,8 +101,8 @@ def clean_lemma(lemma: Column) -> Column:
 
 
 def below_quantile(df: DataFrame, column: str, share: float) -> DataFrame:
-    """Rows below an exact quantile of their column, which is computed as a one-row subquery."""
-    cut = df.select(F.percentile(column, F.lit(share)).alias("__cut"))
+    """Rows below an exact quantile of their column (see ``ranges.quantiles``), which is one row."""
+    cut = ranges.quantiles(df, column, [share]).select(F.col("value").alias("__cut"))
     return df.join(F.broadcast(cut), F.col(column) < F.col("__cut")).drop("__cut")
 
 

@@ -104,19 +104,22 @@ def cosine_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def dtw_path(cost: np.ndarray) -> list[tuple[int, int]]:
-    """Exact time-warping path from the first to the last cell; ties prefer the diagonal."""
+    """Exact time-warping path from the first to the last cell; ties prefer the diagonal. Whole anti-diagonals are filled at once."""
     n, m = cost.shape
-    best = np.full((n + 1, m + 1), np.inf)
-    best[0, 0] = 0.0
-    for i in range(1, n + 1):
-        row, above = best[i], best[i - 1]
-        for j in range(1, m + 1):
-            row[j] = cost[i - 1, j - 1] + min(above[j - 1], above[j], row[j - 1])
-    path, i, j = [], n, m
-    while i and j:
-        path.append((i - 1, j - 1))
-        steps = ((best[i - 1, j - 1], i - 1, j - 1), (best[i - 1, j], i - 1, j), (best[i, j - 1], i, j - 1))
-        _, i, j = min(steps, key=lambda s: s[0])
+    steps = np.zeros((n, m), np.int8)
+    older, old = np.full(n + 1, np.inf), np.full(n + 1, np.inf)  # best costs of the last two anti-diagonals; place i + 1 is row i
+    for d in range(n + m - 1):
+        i = np.arange(max(0, d - m + 1), min(n, d + 1))
+        choices = np.stack([older[i] if d else np.zeros(1), old[i], old[i + 1]])
+        steps[i, d - i] = choices.argmin(axis=0)
+        new = np.full(n + 1, np.inf)
+        new[i + 1] = cost[i, d - i] + choices.min(axis=0)
+        older, old = old, new
+    path, i, j = [], n - 1, m - 1
+    while i >= 0 and j >= 0:
+        path.append((i, j))
+        step = steps[i, j]
+        i, j = i - (step != 2), j - (step != 1)
     return path[::-1]
 
 

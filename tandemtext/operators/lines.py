@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tandemtext.operators import ranges
+
 NUMBERED = r"^\s*(?:\([^)]*\)\s*)?(\d+)\.\s"
 BULLET = r"^\s*•"
 
@@ -79,14 +81,14 @@ def join_broken_pages(df: DataFrame, scope: str, page: str, text: str) -> DataFr
 
 def carry_value(df: DataFrame, scope: str, order: str, value: Column, valid: Column, name: str) -> DataFrame:
     """``df`` with the last valid value of the rows before (not the row's own)."""
-    window = Window.partitionBy(scope).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.last(F.when(valid, value), ignorenulls=True).over(window))
+    cut = ranges.in_ranges(df, [scope], [order])
+    return ranges.last_before(cut, [scope], [order], F.when(valid, value), name).drop(ranges.PART)
 
 
 def running_offset(df: DataFrame, scope: str | None, order: str, size: str, name: str = "offset") -> DataFrame:
     """``df`` with the summed sizes of the rows before within their scope."""
-    window = Window.partitionBy(F.lit(0) if scope is None else scope).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.coalesce(F.sum(size).over(window), F.lit(0)))
+    scopes = [] if scope is None else [scope]
+    return ranges.sum_before(ranges.in_ranges(df, scopes, [order]), scopes, [order], F.col(size), name).drop(ranges.PART)
 
 
 def chain_examples(pairs: Column) -> Column:

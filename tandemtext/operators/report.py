@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tandemtext.functions.text import round4
+from tandemtext.operators import ranges
 
 SHARES = (0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
@@ -19,17 +20,19 @@ def counts(df: DataFrame, *by: str) -> DataFrame:
 def score_stats(df: DataFrame, score: str, *by: str) -> DataFrame:
     """(by..., n, mean, median, least, most) of a score; null and NaN do not count; the median is exact."""
     value = F.col(score)
-    return df.where(value.isNotNull() & ~F.isnan(value.cast("double"))).groupBy(*by).agg(
-        F.count("*").alias("n"), F.avg(value).alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), F.min(value).alias("least"), F.max(value).alias("most")
-    )
+    usable = df.where(value.isNotNull() & ~F.isnan(value.cast("double")))
+    plain = usable.groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"))
+    names = {c: f"__m_{c}" for c in by}
+    median = ranges.quantiles(usable, score, [0.5], by).select(*[F.col(c).alias(n) for c, n in names.items()], F.col("value").alias("median"))
+    on = F.lit(True)
+    for c, n in names.items():
+        on = on & F.col(c).eqNullSafe(F.col(n))
+    return plain.join(median, on).select(*by, "n", "mean", "median", "least", "most")
 
 
 def percentiles(df: DataFrame, score: str, shares: Sequence[float] = SHARES) -> DataFrame:
     """(share, value): exact percentiles with linear interpolation."""
-    value = F.col(score)
-    row = df.where(value.isNotNull() & ~F.isnan(value.cast("double"))).agg(F.percentile(value, F.array(*[F.lit(s) for s in shares])).alias("p"))
-    zipped = F.arrays_zip(F.array(*[F.lit(s) for s in shares]).alias("share"), F.col("p").alias("value"))
-    return row.select(F.explode(zipped).alias("z")).select("z.share", "z.value")
+    return ranges.quantiles(df, score, shares)
 
 
 def histogram(df: DataFrame, score: str, bins: int = 40) -> DataFrame:

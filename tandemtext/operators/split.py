@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tandemtext.operators import ranges
+
 #: Rows below which a stratum goes to train whole; share of a stratum that dev and test may each take.
 LEAST_ROWS, MOST_SHARE = 3, 3
 
@@ -21,12 +23,15 @@ def shuffled(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
 
 
 def row_slice(df: DataFrame, order: Sequence[str], start: int | None = None, end: int | None = None) -> DataFrame:
-    """Rows ``start:end`` of an ordered table as Python slices them, negative and open ends included."""
-    total = df.count() if (start or 0) < 0 or (end or 0) < 0 else 0
-    a = max(0, total + start) if start is not None and start < 0 else (start or 0)
-    b = max(0, total + end) if end is not None and end < 0 else end
-    out = df.orderBy(*order).offset(a) if a else df.orderBy(*order)
-    return out if b is None else out.limit(max(0, b - a))
+    """Rows ``start:end`` of an ordered table as Python slices them, negative and open ends included.
+
+    Rows are numbered in ranges of their order (see ``ranges``): no task sees all of them.
+    """
+    numbered = ranges.sum_before(ranges.in_ranges(df, [], order), [], order, F.lit(1), "__place")
+    total = F.lit(0) if (start or 0) >= 0 and (end or 0) >= 0 else F.lit(df.count())
+    bound = lambda n: total + n if n < 0 else F.lit(n)
+    out = numbered if start is None else numbered.where(F.col("__place") >= bound(start))
+    return (out if end is None else out.where(F.col("__place") < bound(end))).drop("__place", ranges.PART)
 
 
 def stratified_split(df: DataFrame, stratum: str, keys: Sequence[str], dev: int, test: int, seed: int = 42, name: str = "split") -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tandemtext.functions import text as T
 from tandemtext.operators import joins, lexicon, lines, report, segment
-from tandemtext.session import latest, table
+from tandemtext.queries.once import each_once, once
+from tandemtext.session import table
 from tandemtext.sources.readers import BITEXT_COLUMNS, bitext_field
 
 
@@ -19,55 +20,55 @@ def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lines_joined(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "chapters", "chapter_id", "raw_text", "loaded_at").where("raw_text is not null")
+    df = once(spark, sf, "chapters", "chapter_id", "raw_text", "loaded_at").where("raw_text is not null")
     t = F.col("raw_text")
     return df.select("chapter_id", F.unix_micros("loaded_at").alias("at"), T.squeeze(t).alias("squeezed"), T.drop_page_references(t).alias("unreferenced"), T.expand_ligatures(t).alias("expanded"))
 
 
 def french_normalized(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
     return df.select("pair_id", T.normalize_french(F.col("french")).alias("french"), T.normalize_moore(F.col("moore")).alias("moore"))
 
 
 def folded_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lexicon_entries", "entry_id", "french").select("entry_id", T.fold_key(F.col("french")).alias("folded"))
+    return once(spark, sf, "lexicon_entries", "entry_id", "french").select("entry_id", T.fold_key(F.col("french")).alias("folded"))
 
 
 def plain_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lexicon_entries", "entry_id", "synonym").select("entry_id", T.clean_cell(F.col("synonym")).alias("cell"))
+    return once(spark, sf, "lexicon_entries", "entry_id", "synonym").select("entry_id", T.clean_cell(F.col("synonym")).alias("cell"))
 
 
 def heading_groups(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "sections", "section_id", "raw_text", "loaded_at"), "section_id").where("raw_text is not null")
+    df = once(spark, sf, "sections", "section_id", "raw_text", "loaded_at").where("raw_text is not null")
     numbered = lines.heading_groups(lines.lines_of(df, "section_id", "raw_text"), "section_id", "line_no", F.col("line").rlike(r"^\d+\. "))
     return numbered.groupBy("section_id", "group_no").agg(F.count("*").alias("lines"), F.min("line_no").alias("first_line"))
 
 
 def numbered_items(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "sections", "section_id", "raw_text", "loaded_at"), "section_id").where("raw_text is not null")
+    df = once(spark, sf, "sections", "section_id", "raw_text", "loaded_at").where("raw_text is not null")
     return lines.numbered_items(lines.lines_of(df, "section_id", "raw_text"), "section_id", "line_no")
 
 
 def carried_headings(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "chapters", "chapter_id", "raw_text", "loaded_at"), "chapter_id").where("raw_text is not null")
+    df = once(spark, sf, "chapters", "chapter_id", "raw_text", "loaded_at").where("raw_text is not null")
     carried = lines.carry_heading(lines.lines_of(df, "chapter_id", "raw_text"), "chapter_id", "line_no", F.col("line").rlike(r"^(?:Chapitre|\d+\. )"))
     return carried.groupBy("chapter_id", "heading").agg(F.count("*").alias("lines"))
 
 
 def manual_units(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "sections", "section_id", "subsections", "items", "bullet_items", "body", "loaded_at"), "section_id")
+    df = once(spark, sf, "sections", "section_id", "subsections", "items", "bullet_items", "body", "loaded_at")
     units = segment.manual_units(F.struct("subsections", "items", "bullet_items", "body"))
     return df.select("section_id", F.posexplode(units).alias("pos", "unit"))
 
 
 def chapter_replacement(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "chapters", "chapter_id", "manual_id", "chapter_num", "raw_text", "loaded_at"), "chapter_id")
+    df = once(spark, sf, "chapters", "chapter_id", "manual_id", "chapter_num", "raw_text", "loaded_at")
     df = df.select("chapter_id", F.concat_ws("-", "manual_id", "chapter_num").alias("number"), F.coalesce(F.length("raw_text"), F.lit(0)).alias("size"))
     return report.replace_if_larger(df, "number", "chapter_id", "size").select("number", "chapter_id", "place")
 
 
 def language_boundary(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "parallel_text", "pt_id", "moore", "french", "loaded_at"), "pt_id")
+    df = once(spark, sf, "parallel_text", "pt_id", "moore", "french", "loaded_at")
     units = F.concat(F.coalesce("moore", F.array().cast("array<string>")), F.coalesce("french", F.array().cast("array<string>")))
     langs = F.concat(F.transform(F.coalesce("moore", F.array().cast("array<string>")), lambda _: F.lit("mos_Latn")), F.transform(F.coalesce("french", F.array().cast("array<string>")), lambda _: F.lit("fra_Latn")))
     parts = segment.language_boundary(units, langs, end=r"(?i)^kibar sebre")
@@ -75,40 +76,31 @@ def language_boundary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def positional_zip(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "aligned_corpus", "pt_id", "run_at", "french", "moore", "scores")
+    df = once(spark, sf, "aligned_corpus", "pt_id", "run_at", "french", "moore", "scores")
     out = joins.zip_places(df, ["french", "moore", "scores"], "pt_id", "run_at")
     return out.select("pt_id", F.unix_micros("run_at").alias("at"), "pos", "french", "moore", T.round4(F.col("scores")).alias("score"))
 
 
 def aligned_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    df = joins.zip_places(table(spark, sf, "aligned_corpus", "pt_id", "run_at", "french", "moore", "scores"), ["french", "moore", "scores"], "pt_id", "run_at")
+    df = joins.zip_places(once(spark, sf, "aligned_corpus", "pt_id", "run_at", "french", "moore", "scores"), ["french", "moore", "scores"], "pt_id", "run_at")
     kept = df.where((F.col("scores") >= 0.6) & ~T.is_blank(F.col("french")) & ~T.is_blank(F.col("moore")))
     return kept.groupBy("pt_id", F.unix_micros("run_at").alias("at")).agg(F.count("*").alias("n"))
 
 
 def regrouped_units(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "parallel_text", "pt_id", "moore", "loaded_at"), "pt_id")
+    df = once(spark, sf, "parallel_text", "pt_id", "moore", "loaded_at")
     parts = df.select("pt_id", F.posexplode("moore").alias("pos", "unit")).where("unit is not null").withColumn("size", F.length("unit"))
     return joins.regroup(parts, "pt_id", "pos", "size").select("pt_id", F.array_join("size", ",").alias("sizes"))
 
 
-def _looked_up(spark: SparkSession, sf: str, probed: str) -> DataFrame:
-    probe = latest(table(spark, sf, "fr_mos_combined", "pair_id", "french", "source", "loaded_at"), "pair_id").where(probed).select("pair_id", "french")
-    build = latest(table(spark, sf, "lexicon_entries", "entry_id", "french", "moore", "loaded_at"), "entry_id").select("entry_id", F.col("french").alias("term"), F.col("moore").alias("gloss"))
+def glossary_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    probe = once(spark, sf, "fr_mos_combined", "french").where("french is not null").select("pair_id", "french")
+    build = once(spark, sf, "lexicon_entries", "french", "moore").select("entry_id", F.col("french").alias("term"), F.col("moore").alias("gloss"))
     a, b = joins.term_keys(F.col("french"), F.col("french")), joins.term_keys(F.col("term"), F.col("term"))
     out = joins.prioritised_lookup(probe, build, list(zip(a, b)), ["entry_id", "gloss"], "entry_id")
     return out.select("pair_id", "entry_id", "gloss", "match_pass")
 
 
-def glossary_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """The records of one source only, as its SQL has it; ``glossary_lookup_all`` looks up every record."""
-    return _looked_up(spark, sf, "french is not null and source = 'lexicon_entries'")
-
-
-def glossary_lookup_all(spark: SparkSession, sf: str) -> DataFrame:
-    return _looked_up(spark, sf, "french is not null")
-
-
 def numbered_left_join(spark: SparkSession, sf: str) -> DataFrame:
     left = table(spark, sf, "nation", "n_nationkey", "n_name").withColumnRenamed("n_nationkey", "num")
     right = table(spark, sf, "region", "r_regionkey", "r_name").withColumnRenamed("r_regionkey", "num")
@@ -129,35 +121,37 @@ def rowwise_score(spark: SparkSession, sf: str) -> DataFrame:
 
 def dtw_align(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    # sequences of fifty neighbouring rows of a label stand for documents
+    df = df.withColumn("label", F.concat_ws("/", "label", F.floor(F.col("vec_id") / 500)))
     return joins.sequence_join(df.where("vec_id % 2 = 0"), df.where("vec_id % 2 = 1"), "label", "vec_id", "embedding")
 
 
 def synonym_rows(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "lexicon_entries", "entry_id", "french", "moore", "english", "loaded_at")
+    df = once(spark, sf, "lexicon_entries", "entry_id", "french", "moore", "english", "loaded_at")
     return lexicon.explode_synonyms(df).select("entry_id", F.unix_micros("loaded_at").alias("at"), "french", "english", "synonym_no")
 
 
 def proverbs_stripped(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "lexicon_entries", "entry_id", "french", "english", "moore", "len_ratio", "loaded_at")
+    df = once(spark, sf, "lexicon_entries", "entry_id", "french", "english", "moore", "len_ratio", "loaded_at")
     df = df.withColumn("len_ratio", F.nanvl("len_ratio", F.lit(None).cast("double")))
     return lexicon.strip_proverbs(df).select("entry_id", F.unix_micros("loaded_at").alias("at"), "french", "english", T.round4(F.col("len_ratio")).alias("len_ratio"))
 
 
 def bitext_fields(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "english", "moore", "laser_score", "comet_qe")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "english", "moore", "laser_score", "comet_qe")
     row = F.concat_ws("\t", F.coalesce("english", F.lit("")), F.coalesce("moore", F.lit("")), F.coalesce(F.col("laser_score").cast("string"), F.lit("")), F.lit("x"), F.lit("0.0"))
     fields = df.select("pair_id", F.split(row, "\t", -1).alias("f"))
     return fields.select("pair_id", *[bitext_field(n, F.get("f", F.lit(k))).alias(n) for k, n in enumerate(BITEXT_COLUMNS[:6])])
 
 
 def running_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "parallel_text", "pt_id", "french", "source", "loaded_at"), "pt_id")
+    df = once(spark, sf, "parallel_text", "pt_id", "french", "source", "loaded_at")
     sized = df.select("pt_id", F.lower(F.trim("source")).alias("source"), F.size("french").cast("bigint").alias("n"))
     return lines.running_offset(sized, "source", "pt_id", "n")
 
 
 def kinds_of_word(spark: SparkSession, sf: str) -> DataFrame:
-    return report.kind_histogram(table(spark, sf, "lexicon_entries", "pos_tag"), "pos_tag")
+    return report.kind_histogram(once(spark, sf, "lexicon_entries", "pos_tag"), "pos_tag")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -165,7 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         sentence_split, lines_joined, french_normalized, folded_keys, plain_cells, heading_groups, numbered_items, carried_headings,
         manual_units, chapter_replacement, language_boundary, positional_zip, aligned_threshold, regrouped_units, glossary_lookup,
-        glossary_lookup_all, numbered_left_join, similarity_threshold, rowwise_score, dtw_align, synonym_rows, proverbs_stripped, bitext_fields,
+        numbered_left_join, similarity_threshold, rowwise_score, dtw_align, synonym_rows, proverbs_stripped, bitext_fields,
         running_offsets, kinds_of_word,
     )
 }
@@ -207,7 +201,7 @@ f AS (SELECT doc_id, list_filter(list_transform(s, lambda x: {_strip("x")}), lam
 SELECT doc_id, (generate_subscripts(s, 1) - 1)::INTEGER AS pos, unnest(s) AS sentence FROM f""",
     "lines_joined": rf"""SELECT chapter_id, epoch_us(loaded_at) AS at, {_strip(f"regexp_replace(raw_text, '{_S}+', ' ', 'g')")} AS squeezed,
   regexp_replace(raw_text, '(?i)\([^)]*\bp\.?\s*\d+\)', '', 'g') AS unreferenced, {_LIG} AS expanded FROM chapters WHERE raw_text IS NOT NULL""",
-    "french_normalized": rf"""SELECT pair_id, {_strip(r"regexp_replace(regexp_replace(regexp_replace(translate(french, '“”', '" + '""' + r"'), '\s+([!?:;».,])', '\1', 'g'), '«\s+', '«', 'g'), ' {2,}', ' ', 'g')")} AS french,
+    "french_normalized": rf"""SELECT pair_id, {_strip(r"regexp_replace(regexp_replace(regexp_replace(translate(french, '“”', '" + '""' + r"'), ' +([!?:;».,])', '\1', 'g'), '« +', '«', 'g'), ' {2,}', ' ', 'g')")} AS french,
   {_strip("regexp_replace(translate(moore, '“”', '" + '""' + "'), ' {2,}', ' ', 'g')")} AS moore FROM fr_mos_combined""",
     "folded_keys": f"SELECT entry_id, {_fold('french')} AS folded FROM lexicon_entries",
     "plain_cells": f"""SELECT entry_id, {_strip(f"regexp_replace(replace(translate(coalesce(synonym,''), '‘’‚‛“”„‟–—―‐‑' || chr(160) || chr(8239), '''''''''" + '""""' + f"-----' || '  '), '…', '...'), '{_S}+', ' ', 'g')")} AS cell FROM lexicon_entries""",
@@ -238,7 +232,7 @@ SELECT pt_id, epoch_us(run_at) AS at, pos::INTEGER AS pos, f[pos+1] AS french, m
 SELECT pt_id, epoch_us(run_at) AS at, count(*) AS n FROM z WHERE s[pos+1] >= 0.6 AND trim(f[pos+1]) <> '' AND trim(m[pos+1]) <> '' GROUP BY pt_id, run_at""",
     "regrouped_units": f"""WITH p AS {_one("parallel_text", "pt_id")}, u AS (SELECT pt_id, list_filter(moore, lambda x: x IS NOT NULL) AS a FROM p)
 SELECT pt_id, array_to_string(list_transform(a, lambda x: length(x)), ',') AS sizes FROM u WHERE len(a) > 0""",
-    "glossary_lookup": f"""WITH p AS (SELECT pair_id, french FROM {_one("fr_mos_combined", "pair_id")} WHERE french IS NOT NULL AND source = 'lexicon_entries'),
+    "glossary_lookup": f"""WITH p AS (SELECT pair_id, french FROM {_one("fr_mos_combined", "pair_id")} WHERE french IS NOT NULL),
 b AS (SELECT entry_id, french AS term, moore AS gloss FROM {_one("lexicon_entries", "entry_id")}),
 pk AS (SELECT pair_id, unnest([1,2,3]) AS pass, unnest([{_fold("french")}, {_fold("regexp_extract(french, '[(]([^)]*)[)]', 1)")}, regexp_replace({_fold("french")}, '\\s+', '', 'g')]) AS k FROM p),
 bk AS (SELECT entry_id, gloss, unnest([1,2,3]) AS pass, unnest([{_fold("term")}, {_fold("regexp_extract(term, '[(]([^)]*)[)]', 1)")}, regexp_replace({_fold("term")}, '\\s+', '', 'g')]) AS k FROM b)
@@ -266,4 +260,4 @@ SELECT pt_id, source, n, coalesce(sum(n) OVER (PARTITION BY source ORDER BY pt_i
     "kinds_of_word": "SELECT pos_tag, count(*) AS n FROM lexicon_entries GROUP BY pos_tag",
 }
 
-SQL["glossary_lookup_all"] = SQL["glossary_lookup"].replace(" AND source = 'lexicon_entries'", "")
+SQL = {name: each_once(text) for name, text in SQL.items()}

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tandemtext.functions import text as T
 from tandemtext.operators import columns as C
 from tandemtext.operators import filters, joins, lines, report, wordlists
-from tandemtext.session import latest, table
+from tandemtext.queries.once import each_once, once
+from tandemtext.session import table
 
 #: Title markers in order of priority.
 MARKERS = (("le ", "masculine"), ("la ", "feminine"), ("l'", "elided"), ("the ", "english"))
@@ -22,14 +23,14 @@ NAMES = {"Nubo": "Loyougo", "Loyougo": "Nubo", "Dagén": "Tékuba", "Tékuba": "
 
 
 def words_listed(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "fr_mos_combined", "pair_id", "french", "loaded_at"), "pair_id").select("pair_id", "french")
-    listed = wordlists.lexicon_words(table(spark, sf, "lexicon_entries", "english"), "english")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "french", "loaded_at").select("pair_id", "french")
+    listed = wordlists.lexicon_words(once(spark, sf, "lexicon_entries", "english"), "english")
     return joins.semi_words(df, F.array_distinct(T.tokens(F.coalesce("french", F.lit("")))), listed, "pair_id").select("pair_id")
 
 
 def words_unlisted(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "fr_mos_combined", "pair_id", "french", "loaded_at"), "pair_id").select("pair_id", "french")
-    listed = wordlists.words_in(table(spark, sf, "lexicon_entries", "french"), "french")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "french", "loaded_at").select("pair_id", "french")
+    listed = wordlists.words_in(once(spark, sf, "lexicon_entries", "french"), "french")
     return joins.unlisted_count(df, F.array_distinct(T.tokens(F.coalesce("french", F.lit("")))), listed, "pair_id")
 
 
@@ -40,23 +41,23 @@ def names_replaced(spark: SparkSession, sf: str) -> DataFrame:
 
 def names_in_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Names inside running text; ``names_replaced`` has names that are the whole value or its first word."""
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
     return df.select("pair_id", *[joins.substitute_names(F.col(c), NAMES).alias(c) for c in ("french", "moore")])
 
 
 def canonical_titles(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "sections", "section_id", "title", "loaded_at"), "section_id").select("section_id", F.col("title").alias("line"))
+    df = once(spark, sf, "sections", "section_id", "title", "loaded_at").select("section_id", F.col("title").alias("line"))
     return joins.canonical_title(df, "line", MARKERS).select("section_id", "title")
 
 
 def lines_before_stop(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "sections", "section_id", "raw_text", "loaded_at"), "section_id").where("raw_text is not null")
+    df = once(spark, sf, "sections", "section_id", "raw_text", "loaded_at").where("raw_text is not null")
     kept = lines.until_stop(lines.lines_of(df, "section_id", "raw_text"), "section_id", "line_no", F.trim("line") == "")
     return kept.groupBy("section_id").agg(F.count("*").alias("lines"), F.max("line_no").alias("last_line"))
 
 
 def lines_rejoined(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "sections", "section_id", "raw_text", "loaded_at"), "section_id").where("raw_text is not null")
+    df = once(spark, sf, "sections", "section_id", "raw_text", "loaded_at").where("raw_text is not null")
     return lines.join_broken_pages(lines.lines_of(df, "section_id", "raw_text"), "section_id", "line_no", "line")
 
 
@@ -79,29 +80,29 @@ def chapters_by_page(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sides_present(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "french", "moore")
     a, b = F.col("french"), F.col("moore")
     return df.select("pair_id", filters.both_sides(a, b).alias("both"), filters.any_side(a, b).alias("any"))
 
 
 def sources_united(spark: SparkSession, sf: str) -> DataFrame:
     names = ("fr_mos_combined", "aligned_pairs", "lexicon_entries")
-    parts = [table(spark, sf, n, "french", "moore", "source").withColumn("file_ord", F.lit(k)) for k, n in enumerate(names)]
+    parts = [once(spark, sf, n, "french", "moore", "source").select("french", "moore", "source").withColumn("file_ord", F.lit(k)) for k, n in enumerate(names)]
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return united.groupBy("file_ord", F.lower(F.trim("source")).alias("source")).agg(F.count("*").alias("n"))
 
 
 def hyphens_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lexicon_entries", "entry_id", "moore").select("entry_id", T.fix_hyphens(F.col("moore")).alias("moore"))
+    return once(spark, sf, "lexicon_entries", "entry_id", "moore").select("entry_id", T.fix_hyphens(F.col("moore")).alias("moore"))
 
 
 def equal_sides(spark: SparkSession, sf: str) -> DataFrame:
-    df = joins.equal_lengths(table(spark, sf, "aligned_corpus", "pt_id", "french", "moore"), ["french", "moore"])
+    df = joins.equal_lengths(once(spark, sf, "aligned_corpus", "pt_id", "french", "moore"), ["french", "moore"])
     return df.select("pt_id", F.size("french").alias("n"))
 
 
 def enumerated_lines(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "chapters", "chapter_id", "raw_text", "loaded_at"), "chapter_id").where("raw_text is not null")
+    df = once(spark, sf, "chapters", "chapter_id", "raw_text", "loaded_at").where("raw_text is not null")
     out = lines.lines_of(df, "chapter_id", "raw_text").select("chapter_id", "line_no", T.enum_number(F.col("line")).alias("num"))
     return out.where("num is not null")
 
@@ -113,12 +114,12 @@ def matched_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def columns_with_values(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "english").withColumn("nothing", F.lit(None).cast("string"))
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "english").withColumn("nothing", F.lit(None).cast("string"))
     return C.drop_all_null(df, ["english", "nothing"])
 
 
 def labels_plain(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "aligned_pairs", "pair_id", "moore_glotlid_lang")
+    df = once(spark, sf, "aligned_pairs", "pair_id", "moore_glotlid_lang")
     return df.select("pair_id", T.language_label(F.concat(F.lit("__label__"), "moore_glotlid_lang")).alias("label"))
 
 
@@ -171,3 +172,5 @@ SELECT chapter_no, count(*) AS n, min(page) AS first_page, max(page) AS last_pag
 _NAMED = r"array_to_string(list_transform(regexp_extract_all({0}, '[\p{{L}}\p{{M}}\p{{N}}_]+|[^\p{{L}}\p{{M}}\p{{N}}_]+'), lambda w: CASE w {1} ELSE w END), '')"
 _WHEN = " ".join(f"WHEN '{name}' THEN '{other}'" for name, other in NAMES.items())
 SQL["names_in_texts"] = f"SELECT pair_id, {_NAMED.format('french', _WHEN)} AS french, {_NAMED.format('moore', _WHEN)} AS moore FROM fr_mos_combined"
+
+SQL = {name: each_once(text) for name, text in SQL.items()}

@@ -11,17 +11,18 @@ from tandemtext.functions import quality as Q
 from tandemtext.functions import text as T
 from tandemtext.operators import columns as C
 from tandemtext.operators import dedup, filters, report, split, wordlists
-from tandemtext.session import latest, table
+from tandemtext.queries.once import each_once, once
+from tandemtext.session import table
 
 PAIR = ("pair_id", "french", "moore", "source", "loaded_at")
 
 
 def _annotated(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.annotate(table(spark, sf, "aligned_pairs", *PAIR, "identification_consistency", "comet_qe").withColumn("identification_consistency", F.nanvl("identification_consistency", F.lit(None).cast("double"))))
+    return Q.annotate(once(spark, sf, "aligned_pairs", *PAIR, "identification_consistency", "comet_qe").withColumn("identification_consistency", F.nanvl("identification_consistency", F.lit(None).cast("double"))))
 
 
 def pair_len_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "fr_mos_combined", *PAIR).select("pair_id", T.length_ratio(F.col("french"), F.col("moore")).alias("ratio"))
+    return once(spark, sf, "fr_mos_combined", *PAIR).select("pair_id", T.length_ratio(F.col("french"), F.col("moore")).alias("ratio"))
 
 
 def pair_quality_warnings(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +50,7 @@ def hard_filter_cascade(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def identified_cascade(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "aligned_pairs", "pair_id", "moore_glotlid_lang", "moore_glotlid_prob", "french_glotlid_lang", "french_glotlid_prob", "laser_score")
+    df = once(spark, sf, "aligned_pairs", "pair_id", "moore_glotlid_lang", "moore_glotlid_prob", "french_glotlid_lang", "french_glotlid_prob", "laser_score")
     stages = filters.known(
         df,
         {
@@ -67,30 +68,30 @@ def _builder_keep():
 
 
 def builder_quality_filter(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "len_ratio", "comet_qe", "laser_score", "source")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "len_ratio", "comet_qe", "laser_score", "source")
     return df.where(_builder_keep()).select("pair_id", "source")
 
 
 def builder_dropped(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "len_ratio", "comet_qe", "laser_score", "source")
+    df = once(spark, sf, "fr_mos_combined", "len_ratio", "comet_qe", "laser_score", "source")
     return filters.dropped_by_source(df, _builder_keep())
 
 
 def lid_gate(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "aligned_pairs", "pair_id", "moore_glotlid_lang", "moore_glotlid_prob", "identification_consistency", "laser_score")
+    df = once(spark, sf, "aligned_pairs", "pair_id", "moore_glotlid_lang", "moore_glotlid_prob", "identification_consistency", "laser_score")
     gate = filters.language_gate("moore_glotlid_prob", "identification_consistency", "moore_glotlid_lang")
     return df.where(gate & filters.at_least_or_zero("laser_score", 0.6)).select("pair_id", "laser_score")
 
 
 def gated_score(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "aligned_pairs", "pair_id", "french", "moore", "moore_glotlid_lang", "moore_glotlid_prob", "identification_consistency")
+    df = once(spark, sf, "aligned_pairs", "pair_id", "french", "moore", "moore_glotlid_lang", "moore_glotlid_prob", "identification_consistency")
     gate = filters.language_gate("moore_glotlid_prob", "identification_consistency", "moore_glotlid_lang")
     out = filters.gate_then_score(df, gate, lambda d: d.withColumn("quality", T.length_ratio(F.col("french"), F.col("moore"))), "quality")
     return out.select("pair_id", "quality")
 
 
 def _foreign(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "french", "moore")
+    df = once(spark, sf, "fr_mos_combined", "french", "moore")
     return wordlists.foreign_words([wordlists.words_in(df, "french")], [wordlists.words_in(df, "moore")])
 
 
@@ -99,32 +100,32 @@ def foreign_wordlist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wordlist_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "french", "moore")
+    df = once(spark, sf, "fr_mos_combined", "french", "moore")
     return wordlists.overlap_sizes(wordlists.words_in(df, "french"), wordlists.words_in(df, "moore"))
 
 
 def consistency_score(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "aligned_pairs", "pair_id", "moore", "loaded_at"), "pair_id")
+    df = once(spark, sf, "aligned_pairs", "pair_id", "moore", "loaded_at")
     out = Q.with_consistency(df, "moore", _foreign(spark, sf), "pair_id", "consistency", "foreign")
     return out.select("pair_id", "consistency", "foreign")
 
 
 def lexicon_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return wordlists.lexicon_words(table(spark, sf, "lexicon_entries", "moore"), "moore")
+    return wordlists.lexicon_words(once(spark, sf, "lexicon_entries", "moore"), "moore")
 
 
 def dedup_first_wins(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", *PAIR)
+    df = once(spark, sf, "fr_mos_combined", *PAIR)
     return dedup.first_wins(df, ["french", "moore"], ["pair_id", "loaded_at"]).select("pair_id")
 
 
 def repeated_sides(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "fr_mos_combined", *PAIR), "pair_id")
+    df = once(spark, sf, "fr_mos_combined", *PAIR)
     return dedup.repeated(df, ["french", "moore"]).select("pair_id")
 
 
 def dedup_components_keep_best(spark: SparkSession, sf: str) -> DataFrame:
-    df = latest(table(spark, sf, "fr_mos_combined", *PAIR, "comet_qe"), "pair_id")
+    df = once(spark, sf, "fr_mos_combined", *PAIR, "comet_qe")
     df = df.withColumn("comet_qe", F.nanvl("comet_qe", F.lit(None).cast("double")))
     return dedup.keep_best(df, "pair_id", ["french", "moore"], "comet_qe").select("pair_id", "component")
 
@@ -143,7 +144,7 @@ def split_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_source_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "split_name", "source").withColumn("source", F.lower(F.trim("source")))
+    df = once(spark, sf, "fr_mos_combined", "split_name", "source")
     return df.rollup("split_name", "source").agg(F.count("*").alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
@@ -153,13 +154,13 @@ def shuffled_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_stats(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "laser_score", "source").withColumn("source", F.lower(F.trim("source")))
+    df = once(spark, sf, "fr_mos_combined", "laser_score", "source")
     out = report.score_stats(df, "laser_score", "source")
     return out.withColumns({"mean": T.round4(F.col("mean")), "median": T.round4(F.col("median"))})
 
 
 def score_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    return report.percentiles(table(spark, sf, "fr_mos_combined", "comet_qe"), "comet_qe").withColumn("value", T.round4(F.col("value")))
+    return report.percentiles(once(spark, sf, "fr_mos_combined", "comet_qe"), "comet_qe").withColumn("value", T.round4(F.col("value")))
 
 
 def score_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,22 +168,22 @@ def score_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def below_decile(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "laser_score").where("laser_score is not null and not isnan(laser_score)")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "laser_score").where("laser_score is not null and not isnan(laser_score)")
     return filters.below_quantile(df, "laser_score", 0.10)
 
 
 def pass_rate(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "len_ratio", "comet_qe", "laser_score")
+    df = once(spark, sf, "fr_mos_combined", "len_ratio", "comet_qe", "laser_score")
     return report.pass_rate(df, _builder_keep()).withColumn("percent", T.round4(F.col("percent")))
 
 
 def score_migration(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", F.col("laser_score")).withColumnRenamed("laser_score", "score")
+    df = once(spark, sf, "fr_mos_combined", "laser_score").withColumnRenamed("laser_score", "score")
     return C.migrate_score(df.withColumn("score", F.nanvl("score", F.lit(None).cast("double"))))
 
 
 def top_per_source(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "fr_mos_combined", "pair_id", "source", "comet_qe").where("source is not null and comet_qe is not null and not isnan(comet_qe)")
+    df = once(spark, sf, "fr_mos_combined", "pair_id", "source", "comet_qe").where("source is not null and comet_qe is not null and not isnan(comet_qe)")
     return report.best_per_group(df, ["source"], [F.desc("comet_qe"), F.col("pair_id")]).select("source", "pair_id", "comet_qe")
 
 
@@ -236,7 +237,7 @@ ann AS (SELECT pair_id, comet_qe, CASE WHEN isnan(identification_consistency) TH
 _KEEP = "(len_ratio IS NULL OR len_ratio > 0.1) AND (comet_qe IS NULL OR comet_qe >= 0.35) AND (laser_score IS NULL OR laser_score >= 0.5)"
 _TOKENS = r"unnest(regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]+'))"
 _LISTS = f"""WITH f AS (SELECT DISTINCT {_TOKENS.format("french")} AS word FROM fr_mos_combined), m AS (SELECT DISTINCT {_TOKENS.format("moore")} AS word FROM fr_mos_combined)"""
-_GATE = "coalesce(moore_glotlid_prob,0) > 0.9 AND coalesce(identification_consistency,0) > 0.9 AND contains(coalesce(moore_glotlid_lang,''), 'mos_Latn')"
+_GATE = "coalesce(moore_glotlid_prob > 0.9 AND NOT isnan(moore_glotlid_prob), false) AND coalesce(identification_consistency > 0.9 AND NOT isnan(identification_consistency), false) AND contains(coalesce(moore_glotlid_lang,''), 'mos_Latn')"
 _ONE = "(SELECT * FROM {} QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY loaded_at DESC NULLS LAST) = 1)"
 _SPLIT = """WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || doc_id), doc_id) AS place,
   count(*) OVER (PARTITION BY source) AS size, (SELECT count(*) FROM documents) AS total FROM documents),
@@ -252,13 +253,13 @@ SELECT label, count(*) AS n, round_even(count(*)*100.0::DOUBLE/(SELECT count(*)
     "warning_summary": _WARN + """SELECT count(*) AS n, count(*) FILTER (len(w)>0) AS warned, round_even(count(*) FILTER (len(w)>0)*100.0::DOUBLE/count(*)*10000,0)/10000 AS percent,
   round_even(avg(cons)*10000,0)/10000 AS mean_consistency, round_even(avg(ratio)*10000,0)/10000 AS mean_len_ratio FROM ann""",
     "hard_filter_cascade": _WARN + """SELECT CASE WHEN list_has_any(w, ['emoji','dots_asymmetry','number_mismatch']) THEN 'warnings' WHEN NOT coalesce(cons,0) >= 0.5 THEN 'consistency'
-  WHEN NOT ratio >= 0.4 THEN 'len_ratio' WHEN NOT coalesce(comet_qe >= 0.5, false) THEN 'comet' ELSE 'kept' END AS stage, count(*) AS dropped FROM ann GROUP BY 1""",
-    "identified_cascade": """SELECT CASE WHEN NOT coalesce(moore_glotlid_prob >= 0.9 AND moore_glotlid_lang = 'mos_Latn', false) THEN 'moore_lid'
-  WHEN NOT coalesce(french_glotlid_prob >= 0.9 AND french_glotlid_lang = 'fra_Latn', false) THEN 'french_lid'
-  WHEN NOT coalesce(laser_score >= 0.5, false) THEN 'laser' ELSE 'kept' END AS stage, count(*) AS dropped FROM aligned_pairs GROUP BY 1""",
+  WHEN NOT ratio >= 0.4 THEN 'len_ratio' WHEN NOT coalesce(comet_qe >= 0.5 AND NOT isnan(comet_qe), false) THEN 'comet' ELSE 'kept' END AS stage, count(*) AS dropped FROM ann GROUP BY 1""",
+    "identified_cascade": """SELECT CASE WHEN NOT coalesce(moore_glotlid_prob >= 0.9 AND NOT isnan(moore_glotlid_prob) AND moore_glotlid_lang = 'mos_Latn', false) THEN 'moore_lid'
+  WHEN NOT coalesce(french_glotlid_prob >= 0.9 AND NOT isnan(french_glotlid_prob) AND french_glotlid_lang = 'fra_Latn', false) THEN 'french_lid'
+  WHEN NOT coalesce(laser_score >= 0.5 AND NOT isnan(laser_score), false) THEN 'laser' ELSE 'kept' END AS stage, count(*) AS dropped FROM aligned_pairs GROUP BY 1""",
     "builder_quality_filter": f"SELECT pair_id, source FROM fr_mos_combined WHERE {_KEEP}",
     "builder_dropped": f"SELECT source, count(*) FILTER (NOT ({_KEEP})) AS dropped, count(*) AS total FROM fr_mos_combined GROUP BY source",
-    "lid_gate": f"SELECT pair_id, laser_score FROM aligned_pairs WHERE {_GATE} AND coalesce(laser_score,0) >= 0.6",
+    "lid_gate": f"SELECT pair_id, laser_score FROM aligned_pairs WHERE {_GATE} AND coalesce(laser_score,0) >= 0.6 AND NOT coalesce(isnan(laser_score), false)",
     "gated_score": f"SELECT pair_id, CASE WHEN {_GATE} THEN {_RATIO} END AS quality FROM aligned_pairs",
     "foreign_wordlist": _LISTS + " SELECT word FROM f EXCEPT SELECT word FROM m",
     "wordlist_overlap": _LISTS + """, c AS (SELECT word FROM f INTERSECT SELECT word FROM m)
@@ -294,3 +295,5 @@ QUALIFY row_number() OVER (PARTITION BY source ORDER BY comet_qe DESC, pair_id)
     "number_and_address_filter": rf"""SELECT doc_id, NOT ({_strip("text")} = '' OR regexp_matches(text, '^\s*\d+(?:[-–]\d+)?(?:[.,;:\s]+\d+(?:[-–]\d+)?)*[.,;:]?\s*$')
   OR regexp_matches(text, '(?i)https?://|www\.') OR contains(text, '©')) AS usable, NOT ({_strip("text")} = '' OR regexp_matches(text, '^\d+\.+$')) AS sentence FROM documents WHERE text IS NOT NULL""",
 }
+
+SQL = {name: each_once(text) for name, text in SQL.items()}

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tandemtext.operators import columns, dedup, filters, joins, lexicon, lines, models, packed, report, segment, split, wordlists
+from tandemtext.operators import ranges, columns, dedup, filters, joins, lexicon, lines, models, packed, report, segment, split, wordlists
 from tandemtext.queries import documents, folds
 from tandemtext.session import latest
 
@@ -103,6 +103,31 @@ def test_synonyms_and_proverbs(spark, one):
         lexicon.clean_lexicon(df, False, False)
 
 
+def test_nan_fails_filters(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, "mos_Latn"), (0.95, "mos_Latn"), (None, "mos_Latn")], "score double, lang string")
+    for check in (filters.at_least("score", 0.6), filters.at_least_or_zero("score", 0.6), filters.identified("score", "lang", "mos_Latn", 0.6), filters.language_gate("score", "score", "lang")):
+        assert [r.score for r in df.where(check).collect()] == [0.95]
+    assert df.where(filters.at_least_or_null("score", 0.6)).count() == 3
+
+
+def test_folds_in_ranges_against_brute_force(spark):
+    random = np.random.default_rng(2)
+    rows = [(None if k % 7 == 0 else "ab"[k % 2], k, int(random.integers(0, 9)), None if random.random() < 0.4 else float(random.integers(0, 20))) for k in range(200)]
+    df = spark.createDataFrame(rows, "s string, k int, n int, v double")
+    got = {r.k: r.offset for r in lines.running_offset(df, "s", "k", "n").collect()}
+    assert got == {k: sum(n2 for s2, k2, n2, _ in rows if s2 == s and k2 < k) for s, k, _, _ in rows}
+    assert {r.k: r.offset for r in lines.running_offset(df, None, "k", "n").collect()} == {k: sum(r[2] for r in rows[:k]) for k in range(200)}
+    got = {r.k: r.w for r in lines.carry_value(df, "s", "k", F.col("v"), F.col("v") > 3, "w").collect()}
+    assert got == {k: next((v2 for s2, k2, _, v2 in reversed(rows[:k]) if s2 == s and v2 is not None and v2 > 3), None) for s, k, _, _ in rows}
+    for a, b in [(None, None), (3, 10), (-5, None), (2, -2), (150, -80), (0, 0)]:
+        assert [r.k for r in split.row_slice(df, ["k"], a, b).orderBy("k").collect()] == [r[1] for r in rows[a:b]]
+    exact = {(r.s, r.share): r.value for r in ranges.quantiles(df, "v", [0.0, 0.25, 0.5, 0.99, 1.0], ["s"]).collect()}
+    for (s, share), value in exact.items():
+        assert abs(value - np.quantile([v for s2, _, _, v in rows if s2 == s and v is not None], share)) < 1e-9
+    assert len(exact) == 15 and ranges.quantiles(df.limit(0), "v", [0.5]).count() == 0
+
+
 def test_null_rules_of_filters(spark):
     df = spark.createDataFrame([(0.1,), (0.1001,), (None,)], "len_ratio double")
     assert [r[0] for r in df.where(filters.at_least_or_null("len_ratio", 0.1, strict=True)).collect()] == [0.1001, None]
@@ -129,7 +154,7 @@ def test_glossary_lookup_probes_every_source(spark, tmp_path):
     probe = [(1, "Sel", "lexicon_entries", 1), (2, "sel", " Lexicon_Entries ", 1), (3, "SÉL ", "digital-terms", 1), (4, "sel", None, 1), (5, None, "web", 1), (6, "rien", "web", 1), (7, "sel", "web", 1), (7, "rien", "web", 2)]
     spark.createDataFrame(probe, "pair_id bigint, french string, source string, loaded_at int").write.parquet(f"{tmp_path}/fr_mos_combined.parquet")
     spark.createDataFrame([(1, "sel", "yamsem", 1)], "entry_id bigint, french string, moore string, loaded_at int").write.parquet(f"{tmp_path}/lexicon_entries.parquet")
-    assert sorted(r.pair_id for r in documents.glossary_lookup_all(spark, str(tmp_path)).collect()) == [1, 2, 3, 4]
+    assert sorted(r.pair_id for r in documents.glossary_lookup(spark, str(tmp_path)).collect()) == [1, 2, 3, 4]
 
 
 def test_zip_and_equal_lengths(spark):
