@@ -5,14 +5,15 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandemtext.llm.text import words
-from tandemtext.session import cut_lineage
+from tandemtext.llm.text import PlainWords
+from tandemtext.session import cut_lineage, spread
 
 #: One word in so many may differ.
 EVERY = 5
@@ -73,34 +74,48 @@ def within(a: list[str], b: list[str], most: int) -> bool:
 
 
 class Side:
-    """Automaton of the passages of one language of a shard of evaluation records."""
+    """Passages of one language of a shard of evaluation records, and their automaton, made where it is first used."""
 
     def __init__(self, texts: list[str], every: int):
-        owners: dict[str, set[int]] = defaultdict(set)
+        self.owners: dict[str, list[int]] = defaultdict(list)
         seen = Counter(w for text in texts for w in set(text.split(" ")))
         rarity = {w: math.log((len(texts) + 1) / n) for w, n in seen.items()}
-        self.whole: dict[str, set[int]] = defaultdict(set)
+        self.whole: dict[str, list[int]] = defaultdict(list)
+        self.words, self.passages, self.every = [], [], every
         for k, text in enumerate(texts):
             tokens = text.split(" ")
+            self.words.append(len(tokens))
             if len(tokens) < every - 1:
-                self.whole[text].add(k)
+                self.whole[text].append(k)
+                self.passages.append(0)
             else:
-                for p in pieces(tokens, [rarity[w] for w in tokens], every):
-                    owners[f" {p} "].add(k)
-        self.automaton = ahocorasick.Automaton()
-        for p, who in owners.items():
-            self.automaton.add_word(p, who)
-        if owners:
-            self.automaton.make_automaton()
-        self.any = bool(owners)
-
-    def owners(self, text: str) -> set[int]:
-        """Records of which a passage, or the whole short text, occurs in ``text``."""
-        out = set(self.whole.get(text, ()))
-        if self.any:
-            for _, who in self.automaton.iter(f" {text} "):
-                out |= who
-        return out
+                cut = set(pieces(tokens, [rarity[w] for w in tokens], every))
+                self.passages.append(len(cut))
+                for p in cut:
+                    self.owners[f" {p} "].append(k)
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        made = ahocorasick.Automaton()
+        for n, (p, who) in enumerate(self.owners.items()):
+            made.add_word(p, (n, frozenset(who)))
+        made.make_automaton()
+        return made
+
+    def touched(self, text: str) -> tuple[set[int], list[frozenset[int]]]:
+        """(records of which a passage, or the whole short text, occurs in ``text``; the records of each passage that does)."""
+        found = list(dict(who for _, who in self.automaton.iter(f" {text} ")).values()) if self.owners else []
+        return set(self.whole.get(text, ())).union(*found), found
+
+    def covers(self, record: int, size: int, found: list[frozenset[int]]) -> bool:
+        """Whether the matched intervals of a record, merged, cover enough of it for a text of ``size`` words.
+
+        The passages of a record lie end to end, so its merged coverage is that
+        of its matched passages, each counted once. An edit breaks one
+        passage at most: all but as many as words may differ must be covered.
+        """
+        differ = limit(max(self.words[record], size), self.every)
+        return sum(record in who for who in found) >= self.passages[record] - differ
 
 
 class Shard:
@@ -112,33 +127,34 @@ class Shard:
         self.every = every
 
     def matches(self, first: str, second: str) -> Iterator[str]:
-        owners = self.sides[0].owners(first)
-        if owners:
-            owners &= self.sides[1].owners(second)
-        if not owners:
+        left, right = self.sides
+        records, in_first = left.touched(first)
+        if not records:
+            return
+        others, in_second = right.touched(second)
+        records &= others
+        if not records:
             return
         a, b = first.split(" "), second.split(" ")
         in_a, in_b = set(a), set(b)
-        for k in sorted(owners):
+        for k in sorted(records):
             x, y = self.tokens[k]
             most_x, most_y = limit(max(len(x), len(a)), self.every), limit(max(len(y), len(b)), self.every)
             # an edit takes away at most one distinct word
             if len(self.sets[k][0] - in_a) <= most_x and len(self.sets[k][1] - in_b) <= most_y:
-                if within(x, a, most_x) and within(y, b, most_y):
+                if left.covers(k, len(a), in_first) and right.covers(k, len(b), in_second) and within(x, a, most_x) and within(y, b, most_y):
                     yield self.keys[k]
 
 
-_SHARDS: dict[int, Shard] = {}
-
-
 def classes(records: DataFrame, key: str, texts: tuple[str, str], split: str) -> DataFrame:
     """(key, split, source, class, first, second): plain forms of both texts; records without either are left out."""
     columns = [key, split, *texts]
     schema = f"`{key}` {records.schema[key].dataType.simpleString()}, `{split}` string, first string, second string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plain = PlainWords()
         for batch in batches:
-            a, b = ([" ".join(words(t)) for t in batch[c]] for c in texts)
+            a, b = ([plain.line(t) for t in batch[c]] for c in texts)
             out = pd.DataFrame({key: batch[key], split: batch[split], "first": a, "second": b})
             yield out[(out["first"] != "") & (out["second"] != "")]
 
@@ -147,7 +163,7 @@ def classes(records: DataFrame, key: str, texts: tuple[str, str], split: str) ->
     return plain.withColumn("class", F.md5(F.concat_ws("\x1f", "first", "second")))
 
 
-def cross_split_pairs(
+def matched_classes(
     spark: SparkSession,
     records: DataFrame,
     key: str = "pair_id",
@@ -156,38 +172,30 @@ def cross_split_pairs(
     train: str = "train",
     every: int = EVERY,
     shard: int = SHARD,
-) -> DataFrame:
-    """(key_a, key_b): pairs of a training record and another split's record whose texts are the same or near.
+) -> tuple[DataFrame, DataFrame]:
+    """((key, split, class) of all records, (train_class, eval_class) whose texts are the same or near).
 
-    Case, accents, punctuation and spacing aside, both texts of a pair differ
-    in at most one word in ``every`` (word edits against the longer text).
     Copies are one class each: evaluation classes stream to the driver in
     shards of ``shard``, whose Aho-Corasick automata scan every training class;
-    records hit in both languages are verified by edit distance. Classes become
-    record pairs in a join at the end, so that a text copied a million times is
-    scanned once. Records without either text (null, blank, no words) and
-    records without a split form no pair; repeated rows should have been
-    reduced to one per key.
+    records covered enough in both languages are verified by edit distance, so a
+    text copied a million times is scanned once. Plain texts are written to a
+    checkpoint once; all shards are scanned in one job, in which they share the
+    shuffle of the classes.
     """
-    plain = cut_lineage(classes(records, key, texts, split))  # read four times below
+    plain = cut_lineage(classes(records, key, texts, split))
     kinds = plain.groupBy("class", "first", "second").agg(
         F.max((F.col(split) == train).cast("int")).alias("in_train"), F.max((F.col(split) != train).cast("int")).alias("in_eval")
     )
-    trained = kinds.where("in_train = 1").select("class", "first", "second")
+    trained = spread(kinds.where("in_train = 1").select("class", "first", "second"))
     found: DataFrame | None = None
     rows: list[tuple[str, str, str]] = []
 
     def scan(rows: list[tuple[str, str, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(rows)
+        shared = spark.sparkContext.broadcast(Shard(rows, every))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            at = shared.id if hasattr(shared, "id") else id(shared.value)
-            if at not in _SHARDS:
-                _SHARDS.clear()
-                _SHARDS[at] = Shard(shared.value, every)
-            automata = _SHARDS[at]
             for batch in batches:
-                pairs = [(c, e) for c, a, b in zip(batch["class"], batch["first"], batch["second"]) for e in automata.matches(a, b)]
+                pairs = [(c, e) for c, a, b in zip(batch["class"], batch["first"], batch["second"]) for e in shared.value.matches(a, b)]
                 yield pd.DataFrame(pairs, columns=["train_class", "eval_class"], dtype=str)
 
         return trained.mapInPandas(run, "train_class string, eval_class string")
@@ -200,13 +208,47 @@ def cross_split_pairs(
     if rows or found is None:
         part = scan(rows)
         found = part if found is None else found.union(part)
-    members = plain.select(F.col(key).alias("record"), split, "class")
-    a = members.where(F.col(split) == train).select(F.col("record").alias("a"), F.col("class").alias("train_class"))
-    b = members.where(F.col(split) != train).select(F.col("record").alias("b"), F.col("class").alias("eval_class"))
+    return plain.select(key, split, "class"), found
+
+
+def cross_split_pairs(
+    spark: SparkSession,
+    records: DataFrame,
+    key: str = "pair_id",
+    texts: tuple[str, str] = ("french", "moore"),
+    split: str = "split_name",
+    train: str = "train",
+    every: int = EVERY,
+    shard: int = SHARD,
+) -> DataFrame:
+    """(key_a, key_b): pairs of a training record and another split's record whose texts are the same or near.
+
+    Case, accents, punctuation and spacing aside, both texts of a pair differ
+    in at most one word in ``every`` (word edits against the longer text).
+    Matched classes (see :func:`matched_classes`) become record pairs in a join
+    at the end. Records without either text (null, blank, no words) and
+    records without a split form no pair; repeated rows should have been
+    reduced to one per key.
+    """
+    members, found = matched_classes(spark, records, key, texts, split, train, every, shard)
+    a = members.where(F.col(split) == train).select(F.col(key).alias("a"), F.col("class").alias("train_class"))
+    b = members.where(F.col(split) != train).select(F.col(key).alias("b"), F.col("class").alias("eval_class"))
     pairs = found.join(b, "eval_class").join(a, "train_class")
     return pairs.select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"))
 
 
+def overlap_counts(
+    spark: SparkSession, records: DataFrame, key: str = "pair_id", texts: tuple[str, str] = ("french", "moore"), split: str = "split_name", source: str = "source", train: str = "train"
+) -> DataFrame:
+    """As :func:`overlap_report`, from counts per class: no record pair is made."""
+    members, found = matched_classes(spark, records, key, texts, split, train)
+    copies = members.where(F.col(split) == train).groupBy(F.col("class").alias("train_class")).agg(F.count("*").alias("copies"))
+    twins = found.join(copies, "train_class").groupBy("eval_class").agg(F.sum("copies").alias("twins"))
+    own = records.where((F.col(split) != train) & F.col(split).isNotNull()).select(key, F.lower(F.trim(source)).alias("source"))
+    held = members.where(F.col(split) != train).join(own, key).groupBy(F.col("class").alias("eval_class"), split, "source").agg(F.count("*").alias("n"))
+    return held.join(twins, "eval_class").groupBy(split, "source").agg(F.sum("n").alias("records"), F.sum(F.col("n") * F.col("twins")).alias("pairs"))
+
+
 def overlap_report(pairs: DataFrame, records: DataFrame, key: str = "pair_id", split: str = "split_name", train: str = "train") -> DataFrame:
     """(split, source, records, pairs): evaluation records with a training twin, and their pairs, per split and source."""
     long = pairs.select(F.explode(F.array(f"{key}_a", f"{key}_b")).alias(key))

@@ -11,7 +11,7 @@ from tandemtext.llm.bitext import sentence_pairs
 from tandemtext.llm.cutoffs import cutoffs, kept_records
 from tandemtext.llm.langid import field_stretches, mislabelled
 from tandemtext.llm.leaks import leaked_items
-from tandemtext.llm.overlaps import cross_split_pairs, overlap_report
+from tandemtext.llm.overlaps import cross_split_pairs, overlap_counts
 from tandemtext.llm.reading import DEMANDING, check_by_source, reading_levels
 from tandemtext.llm.scans import noisy_lines, repaired
 from tandemtext.llm.sentences import sentence_units
@@ -58,8 +58,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _split_records(spark, sf_dir)
-    return overlap_report(cross_split_pairs(spark, records), records)
+    return overlap_counts(spark, _split_records(spark, sf_dir))
 
 
 def p6_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

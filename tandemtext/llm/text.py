@@ -44,6 +44,24 @@ class WordIds(dict):
         return found
 
 
+class PlainWords(dict):
+    """Raw word -> its plain form, made once a spelling; emptied at ``limit`` spellings."""
+
+    def __init__(self, limit: int = 1_000_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self[word] = plain_word(word)
+        return found
+
+    def line(self, text: str | None) -> str:
+        """Plain words of a text with single blanks between them."""
+        return " ".join([self[w] for w in WORD.findall(composed(text))]) if text else ""
+
+
 def words(text: str | None) -> list[str]:
     """Plain words of a text, in order."""
     return [plain_word(w) for w in WORD.findall(composed(text))] if text else []

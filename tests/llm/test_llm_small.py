@@ -219,6 +219,7 @@ def test_cross_split_pairs_against_brute_force(spark):
     assert got == sorted(expected) and len(got) > 20
     report = overlaps.overlap_report(overlaps.cross_split_pairs(spark, df), df)
     assert sum(r.pairs for r in report.collect()) == len(expected)
+    assert sorted(map(tuple, overlaps.overlap_counts(spark, df).select("split_name", "source", "records", "pairs").collect())) == sorted(map(tuple, report.select("split_name", "source", "records", "pairs").collect()))
     assert overlaps.cross_split_pairs(spark, df.limit(0)).count() == 0
 
 
