@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tandemtext.llm.bitext import sentence_pairs
 from tandemtext.llm.cutoffs import cutoffs, kept_records
-from tandemtext.llm.langid import field_stretches, mislabelled
+from tandemtext.llm.langid import field_languages, field_stretches, wrong_labels
 from tandemtext.llm.leaks import leaked_items
 from tandemtext.llm.overlaps import cross_split_pairs, overlap_counts
 from tandemtext.llm.reading import DEMANDING, check_by_source, reading_levels
@@ -40,13 +40,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_units(spark, latest(sections, "section_id"))
 
 
-def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["pair_id", "french", "moore", "english", "french_glotlid_lang", "moore_glotlid_lang", "loaded_at"]
-    return field_stretches(spark, latest(table(spark, sf_dir, "aligned_pairs", *columns), "pair_id"))
+    return latest(table(spark, sf_dir, "aligned_pairs", *columns), "pair_id")
+
+
+def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return field_stretches(spark, _labelled_pairs(spark, sf_dir))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mislabelled(p4_segments(spark, sf_dir)).select("pair_id", "side", "lang")
+    return wrong_labels(field_languages(spark, _labelled_pairs(spark, sf_dir))).select("pair_id", "side", "lang")
 
 
 def _split_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,6 +160,7 @@ def test_mislabelled_rows(spark):
     df = spark.createDataFrame(rows, columns)
     found = sorted((r.pair_id, r.side, r.lang) for r in langid.mislabelled(langid.field_stretches(spark, df)).collect())
     assert found == [(100, "french", "fra_Latn"), (100, "moore", "fra_Latn"), (102, "french", "fra_Latn+mos_Latn"), (102, "moore", "mos_Latn")]
+    assert sorted((r.pair_id, r.side, r.lang) for r in langid.wrong_labels(langid.field_languages(spark, df)).collect()) == found
 
 
 # --- overlaps -------------------------------------------------------------------------------------------------------
