@@ -53,29 +53,35 @@ def split_values(text: Column) -> Column:
     """
     numbered = text.rlike(NUMBERED)
     body = _protect(text)
-    pieces = F.regexp_extract_all(body, F.lit(PIECE), F.lit(0))
     empty = F.array().cast("array<string>")
 
+    def parted(piece: Column) -> Column:
+        return F.split(F.when(numbered, F.regexp_replace(piece, NUMBER_GAP, "\n")).otherwise(piece), SPLIT, -1)
+
     def step(acc: Column, piece: Column) -> Column:
         literal = (F.length(piece) > 1) & piece.rlike(r'^["“«]')
-        spaced = F.when(numbered, F.regexp_replace(piece, NUMBER_GAP, "\n")).otherwise(piece)
-        parts = F.when(literal, F.array(F.translate(piece, SEPARATORS, MASKS))).otherwise(F.split(spaced, SPLIT, -1))
+        parts = F.when(literal, F.array(F.translate(piece, SEPARATORS, MASKS))).otherwise(parted(piece))
         head = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
         glued = F.concat(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit("")), F.get(parts, F.lit(0)))
         return F.concat(head, F.array(glued), F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))))
 
-    raw = F.aggregate(pieces, empty, step)
-
-    def clean(value: Column) -> Column:
+    def bare(value: Column) -> Column:
         v = trimmed(F.translate(value, MASKS, SEPARATORS))
-        v = F.when(numbered, trimmed(F.regexp_replace(v, r"^\(?\d{1,2}[.)](?=\s|$)", ""))).otherwise(v)
+        return F.when(numbered, trimmed(F.regexp_replace(v, r"^\(?\d{1,2}[.)](?=\s|$)", ""))).otherwise(v)
+
+    def unquoted(v: Column) -> Column:
         straight = v.rlike(r'(?s)^"(?:[^"]|"")*"$') & (F.length(v) > 1)
         curly = v.rlike(r"(?s)^“[^”]*”$") | v.rlike(r"(?s)^«[^»]*»$")
         inner = F.substring(v, F.lit(2), F.length(v) - 2)
         return F.when(straight | curly, trimmed(F.replace(inner, F.lit('""'), F.lit('"')))).otherwise(v)
 
-    values = F.filter(F.transform(raw, clean), lambda v: ~v.isin(*PLACEHOLDERS))
-    single = F.filter(F.array(trimmed(text)), lambda v: ~v.isin(*PLACEHOLDERS))
+    told = lambda v: ~v.isin(*PLACEHOLDERS)
+    # a field without quotation marks is one plain piece and needs no fold
+    plain = F.filter(F.transform(parted(body), bare), told)
+    folded = F.aggregate(F.regexp_extract_all(body, F.lit(PIECE), F.lit(0)), empty, step)
+    quoted = F.filter(F.transform(folded, lambda v: unquoted(bare(v))), told)
+    values = F.when(body.rlike('["“«]'), quoted).otherwise(plain)
+    single = F.filter(F.array(trimmed(text)), told)
     return F.when(text.isNull(), empty).when(~text.rlike(MARKED), single).when(is_sentence(text), empty).otherwise(values)
 
 
