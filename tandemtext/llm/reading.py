@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -208,14 +209,42 @@ def calibration(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return x, np.array([b[0] for b in blocks])
 
 
+def _fitted(data: tuple, part: int) -> tuple[Trees | None, np.ndarray]:
+    """The trees fitted without fold ``part`` and their predictions for it; -1 leaves nothing out and predicts nothing."""
+    texts, still, y, fold = data
+    train, test = np.flatnonzero(fold != part), np.flatnonzero(fold == part)
+    if part >= 0 and len(train) < 30:
+        return None, np.full(len(test), y.mean())
+    levels = vocabulary([texts[k] for k in train], y[train])
+    table = lambda ks, own: np.hstack([still[ks], [difficulty(texts[k], levels, y[k] if own else None) for k in ks]])
+    trees = Trees().fit(table(train, True), y[train])
+    return trees, trees.predict(table(test, False)) if len(test) else np.empty(0)
+
+
+def _fitted_in_tasks(spark: SparkSession, data: tuple, parts: list[int]) -> list[tuple[Trees | None, np.ndarray]]:
+    """As :func:`_fitted`, each part in a task of its own."""
+    shared = spark.sparkContext.broadcast(data)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["id"], "fitted": [pickle.dumps(_fitted(shared.value, parts[k])) for k in batch["id"]]})
+
+    made = spark.range(0, len(parts), 1, len(parts)).mapInPandas(run, "id bigint, fitted binary").collect()
+    return [pickle.loads(r["fitted"]) for r in sorted(made, key=lambda r: r["id"])]
+
+
 class Grader:
-    """Word levels, trees and calibration, fitted on labelled texts and checked source by source."""
+    """Word levels, trees and calibration, fitted on labelled texts and checked source by source.
+
+    ``checked`` has the calibrated prediction of each text by trees and a
+    calibration that saw none of its fold's sources. With a session the models
+    of the folds are fitted in tasks beside the whole one.
+    """
 
-    def __init__(self, rows: list[tuple[str, str | None, float]], folds: int = 4):
+    def __init__(self, rows: list[tuple[str, str | None, float]], folds: int = 4, spark: SparkSession | None = None):
         texts = [tokens(t) for t, _, _ in rows]
         keep = [k for k, w in enumerate(texts) if w]
         texts = [texts[k] for k in keep]
-        bodies = [rows[k][0] for k in keep]
         y = np.array([rows[k][2] for k in keep], dtype=np.float64)
         self.sources = [rows[k][1] or "" for k in keep]
         self.y, self.ready = y, len(y) >= 40
@@ -223,23 +252,20 @@ class Grader:
         if not self.ready:
             return
         self.levels = vocabulary(texts, y)
-        still = np.array([shape(b, w) for b, w in zip(bodies, texts)])
-        table = lambda ks, levels, own: np.hstack([still[ks], [difficulty(texts[k], levels, y[k] if own else None) for k in ks]])
+        still = np.array([shape(rows[k][0], w) for k, w in zip(keep, texts)])
         names = sorted(set(self.sources))
         fold = np.array([names.index(s) % folds for s in self.sources])
         if len(set(fold.tolist())) < 2:
             fold = np.arange(len(y)) % folds
-        self.held_out = np.empty(len(y))
-        for f in sorted(set(fold.tolist())):
-            train, test = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            if len(train) < 30:
-                self.held_out[test] = y.mean()
-                continue
-            levels = vocabulary([texts[k] for k in train], y[train])
-            model = Trees().fit(table(train, levels, True), y[train])
-            self.held_out[test] = model.predict(table(test, levels, False))
+        data, parts = (texts, still, y, fold), [-1, *sorted(set(fold.tolist()))]
+        (self.trees, _), *held = _fitted_in_tasks(spark, data, parts) if spark else [_fitted(data, p) for p in parts]
+        self.held_out, self.checked = np.empty(len(y)), np.empty(len(y))
+        for part, (_, predicted) in zip(parts[1:], held):
+            self.held_out[fold == part] = predicted
+        for part in parts[1:]:
+            others = fold != part
+            self.checked[~others] = np.interp(self.held_out[~others], *calibration(self.held_out[others], y[others]))
         self.points = calibration(self.held_out, y)
-        self.trees = Trees().fit(table(np.arange(len(y)), self.levels, True), y)
 
     def grades(self, texts: list[str | None]) -> list[float | None]:
         """Estimated grade of each text; texts without words (null, blank, figures only) have none."""
@@ -269,12 +295,12 @@ def labelled(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
 def reading_levels(spark: SparkSession, documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, grade): estimated grade, 1 to 5, of each text; null where a text has no words.
 
-    The model is fitted on the driver from at most ``sample`` graded texts
+    The model and those of the folds are fitted side by side in tasks from at most ``sample`` graded texts
     (their number is the bound of what is collected and broadcast) and applied
     to every whole text in one narrow pass. Repeated rows are graded each; with
     fewer than 40 graded texts every text gets their mean. Rows without an id are left out.
     """
-    shared = spark.sparkContext.broadcast(Grader(labelled(documents, labels, sample)))
+    shared = spark.sparkContext.broadcast(Grader(labelled(documents, labels, sample), spark=spark))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -285,13 +311,12 @@ def reading_levels(spark: SparkSession, documents: DataFrame, labels: DataFrame,
 
 
 def check_by_source(spark: SparkSession, documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(source, texts, mean_error, right): cross-validated error of the calibrated grades of each source held out."""
-    model = Grader(labelled(documents, labels, sample))
+    """(source, texts, mean_error, right): cross-validated error of the calibrated grades; neither trees nor calibration saw a source they grade."""
+    model = Grader(labelled(documents, labels, sample), spark=spark)
     rows = []
     if model.ready:
-        smooth = np.interp(model.held_out, *model.points)
         for s in sorted(set(model.sources)):
             mine = np.array([x == s for x in model.sources])
-            error = np.abs(smooth[mine] - model.y[mine])
+            error = np.abs(model.checked[mine] - model.y[mine])
             rows.append((s, int(mine.sum()), round(float(error.mean()), 4), round(float((error < 1).mean()), 4)))
     return spark.createDataFrame(rows, "source string, texts bigint, mean_error double, right double")
