@@ -117,3 +117,29 @@ def kept_alignments(df: DataFrame, score: str, least: float, first: str = "frenc
 
 def first_of(columns: Sequence[str]) -> Column:
     return F.coalesce(*[F.col(c) for c in columns])
+
+
+def naive_bayes(labelled: DataFrame, text: str, label: str, sizes: Sequence[int] = (1, 2, 3), features: int = 1 << 16):
+    """A language identifier trained on labelled texts: multinomial naive Bayes over hashed character n-grams, in the JVM."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import HashingTF, IndexToString, NGram, SQLTransformer, StringIndexer, VectorAssembler
+
+    usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(text).alias("__text"), F.col(label).alias("__label"))
+    index = StringIndexer(inputCol="__label", outputCol="__y", stringOrderType="alphabetAsc").fit(usable)
+    chars = SQLTransformer(statement="SELECT *, split(lower(coalesce(__text, '')), '') AS __chars FROM __THIS__")
+    grams = [NGram(n=n, inputCol="__chars", outputCol=f"__g{n}") for n in sizes]
+    hashed = [HashingTF(numFeatures=features, inputCol=f"__g{n}", outputCol=f"__h{n}") for n in sizes]
+    joined = VectorAssembler(inputCols=[f"__h{n}" for n in sizes], outputCol="__x")
+    bayes = NaiveBayes(featuresCol="__x", labelCol="__y", predictionCol="__p", probabilityCol="__probs", rawPredictionCol="__raw")
+    told = IndexToString(inputCol="__p", outputCol="__lang", labels=index.labels)
+    return Pipeline(stages=[chars, *grams, *hashed, joined, bayes, told]).fit(index.transform(usable))
+
+
+def identified_by(model, df: DataFrame, field: str) -> DataFrame:
+    """``df`` with the language and probability (not rounded) that a model of :func:`naive_bayes` gives a field; null texts count as empty."""
+    from pyspark.ml.functions import vector_to_array
+
+    lang, prob = label_columns(field)
+    out = model.transform(df.withColumn("__text", F.col(field)))
+    return out.withColumns({lang: F.col("__lang"), prob: F.array_max(vector_to_array("__probs"))}).select(*df.columns, lang, prob)

@@ -129,8 +129,13 @@ def flatten_entries(entries: DataFrame, heads: bool = True, examples: bool = Tru
     return out if heads else told
 
 
-def flatten_book(chapters: DataFrame, key: str = "chapter_number") -> DataFrame:
-    """Sentences of a bilingual book (key, side, block, part, pos, sentence): titles, pages in order, then numbered questions."""
+def flatten_book(chapters: DataFrame, key: str = "chapter_number", before: int | None = None) -> DataFrame:
+    """Sentences of a bilingual book (key, side, block, part, pos, sentence): titles, pages in order, then numbered questions.
+
+    ``before`` leaves out pages (by their ``page_number``) from that number on.
+    """
+    if before is not None:
+        chapters = chapters.withColumn("pages", F.filter("pages", lambda p: p["page_number"] < before))
 
     def side(name: str) -> Column:
         none = F.array().cast("array<string>")
@@ -161,8 +166,9 @@ def finalize(df: DataFrame, drop_duplicates: bool = False, postprocess: Transfor
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    """Command line: annotate, filter, clean-lexicon, assemble, report, wordlists."""
+    """Command line: parse, flatten, align, e2e, annotate, filter, clean-lexicon, assemble, report, wordlists."""
     from tandemtext.operators import wordlists
+    from tandemtext.plans import jobs
     from tandemtext.session import get_spark
     from tandemtext.sources import readers, sinks
 
@@ -175,6 +181,22 @@ def main(argv: Sequence[str] | None = None) -> int:
     commands.choices["annotate"].add_argument("--warnings", action="store_true")
     commands.choices["annotate"].add_argument("--len-ratio", action="store_true")
     commands.choices["annotate"].add_argument("--all", action="store_true")
+    for option in ("--lid", "--embed", "--estimate"):
+        commands.choices["annotate"].add_argument(option, help="model factory, as module:function")
+    commands.choices["annotate"].add_argument("--foreign", help="word list for the consistency score")
+    commands.choices["annotate"].add_argument("--key", default="pair_id")
+    for name, kinds in (("parse", ["dictionary", "columns", "manual"]), ("flatten", ["news", "sessions", "entries", "book"]), ("align", []), ("e2e", [])):
+        one = commands.add_parser(name)
+        one.add_argument("input")
+        one.add_argument("--output", required=True)
+        if kinds:
+            one.add_argument("--kind", choices=kinds, required=True)
+        else:
+            one.add_argument("--embed", help="model factory, as module:function")
+            one.add_argument("--least", type=float, default=0.0)
+            one.add_argument("--key", default="doc_id")
+    commands.choices["parse"].add_argument("--section", action="append", default=[])
+    commands.choices["parse"].add_argument("--stop", action="append", default=[])
     commands.choices["filter"].add_argument("--len-ratio", type=float, default=0.0)
     commands.choices["clean-lexicon"].add_argument("--proverbs", action="store_true")
     commands.choices["clean-lexicon"].add_argument("--synonyms", action="store_true")
@@ -189,9 +211,16 @@ def main(argv: Sequence[str] | None = None) -> int:
     listed.add_argument("--native", nargs="*", default=[])
     listed.add_argument("--output", required=True)
     args = parser.parse_args(argv)
-    spark = get_spark("local[*]")
-    if args.command == "annotate":
-        out = annotate(readers.dataset(spark, args.input), warnings=args.warnings or args.all, len_ratio=args.len_ratio or args.all)
+    spark = get_spark(None)
+    if args.command in ("parse", "flatten", "align", "e2e"):
+        sinks.write_json_lines(jobs.run(spark, args), args.output)
+    elif args.command == "annotate":
+        foreign = wordlists.list_words(readers.optional_lists(spark, [args.foreign])[0]) if args.foreign else None
+        chosen = {name: jobs.named_factory(value) for name, value in (("lid", args.lid), ("embed", args.embed), ("estimate", args.estimate)) if value}
+        out = annotate(
+            readers.dataset(spark, args.input), warnings=args.warnings or args.all, len_ratio=args.len_ratio or args.all,
+            consistency=foreign is not None, foreign=foreign, key=args.key if foreign is not None else None, **chosen,
+        )
         sinks.rewrite(out, args.output or args.input)
     elif args.command == "filter":
         df = readers.dataset(spark, args.input)
@@ -209,7 +238,9 @@ def main(argv: Sequence[str] | None = None) -> int:
         lists = [[wordlists.list_words(x) for x in readers.optional_lists(spark, paths)] for paths in (args.foreign, args.native)]
         sinks.write_json_lines(wordlists.foreign_words(lists[0], lists[1], spark), args.output)
     else:
-        parts = [readers.pairs(spark, path, source).withColumn("line_no", F.monotonically_increasing_id()) for source, _, path in (x.partition("=") for x in args.inputs)]
+        # the file and the place in it, not the cut of the scan, tell which of two equal pairs comes first
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+        parts = [readers.pairs(spark, path, source, place=place) for source, _, path in (x.partition("=") for x in args.inputs)]
         corpus = assemble(parts, dev=args.dev, test=args.test, seed=args.seed)
         sinks.write_splits(corpus, args.output)
         split_totals(corpus).show(truncate=False)

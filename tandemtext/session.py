@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """A local session with the settings the test-suite and the bench use."""
+def get_spark(master: str | None = "local[8]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
+    """A local session with the settings the test-suite and the bench use; without a master the session that the cluster's settings make."""
+    builder = SparkSession.builder.appName("tandemtext")
+    if master is None:
+        builder = builder.config("spark.sql.session.timeZone", "UTC")
+        for key, value in conf.items():
+            builder = builder.config(key, value)
+        return builder.getOrCreate()
     builder = (
-        SparkSession.builder.master(master)
-        .appName("tandemtext")
+        builder.master(master)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

@@ -6,10 +6,9 @@ import os
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from html.parser import HTMLParser
-from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandemtext.functions.text import expand_ligatures, is_blank, strip
@@ -27,6 +26,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system is a folder of Parquet files."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.parquet")
+    return len(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target) or ()) > 0
+
+
 def json_lines(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """JSON lines with a fixed schema; blank lines are skipped, a missing path fails. Without a schema it is inferred."""
     if not exists(spark, path):
@@ -53,9 +59,11 @@ def dataset(spark: SparkSession, uri: str, schema: str | None = None, split: str
     return spark.read.parquet(inner if exists(spark, inner) else uri)
 
 
-def pairs(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
-    """Pair rows: sides stripped, rows with a blank side dropped, the source optionally set."""
+def pairs(spark: SparkSession, path: str, source: str | None = None, place: Column | None = None) -> DataFrame:
+    """Pair rows: sides stripped, rows with a blank side dropped, the source optionally set, and ``place`` of the scan as ``line_no``."""
     df = json_lines(spark, path, PAIR_SCHEMA)
+    if place is not None:
+        df = df.withColumn("line_no", place)
     df = df.withColumns({"french": strip(F.col("french")), "moore": strip(F.col("moore"))}).where(~is_blank(F.col("french")) & ~is_blank(F.col("moore")))
     return df if source is None else df.withColumn("source", F.lit(source))
 
@@ -227,7 +235,7 @@ def listed_links(pages: DataFrame) -> DataFrame:
 
 def optional_lists(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     """Those word lists that are there, as JSON lines or Parquet."""
-    return [spark.read.parquet(p) if Path(p).is_dir() else spark.read.json(p) for p in paths if exists(spark, p)]
+    return [spark.read.parquet(p) if is_folder(spark, p) else spark.read.json(p) for p in paths if exists(spark, p)]
 
 
 def moore_glossary_rows(cells: DataFrame) -> DataFrame:

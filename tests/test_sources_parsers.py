@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandemtext.functions import quality
-from tandemtext.operators import parsers, report
-from tandemtext.plans import pipelines
+from tandemtext.operators import models, parsers, report
+from tandemtext.plans import jobs, pipelines
 from tandemtext.sources import readers, sinks
 from tandemtext.streaming import annotators
 
@@ -170,3 +170,53 @@ def test_stream_equals_batch(spark, tmp_path):
     query.awaitTermination(60)
     got = sorted(tuple(r.quality_warnings) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted(tuple(r.quality_warnings) for r in quality.annotate(df).collect())
+
+
+def _lines(path):
+    return [json.loads(x) for f in sorted(path.glob("*.json")) for x in f.read_text(encoding="utf-8").splitlines()]
+
+
+def test_commands_from_pages_to_pairs(spark, tmp_path):
+    pages = [{"doc_id": "d", "page": 1, "text": "tãnga n Frncolline Enghill"}, {"doc_id": "d", "page": 2, "text": "moogo n Frnmonde Engworld"}]
+    (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, pages)), encoding="utf-8")
+    assert pipelines.main(["parse", str(tmp_path / "pages.json"), "--kind", "dictionary", "--output", str(tmp_path / "parsed")]) == 0
+    assert [r["lemma"] for r in _lines(tmp_path / "parsed")] == ["tãnga", "moogo"]
+    assert pipelines.main(["flatten", str(tmp_path / "parsed"), "--kind", "entries", "--output", str(tmp_path / "flat")]) == 0
+    assert sorted((r["french"], r["moore"], r["kind"]) for r in _lines(tmp_path / "flat")) == [("colline", "tãnga", "entry"), ("monde", "moogo", "entry")]
+    documents = [{"doc_id": "x", "french": ["Kadiogo 12", "Zéba 1987", " "], "moore": ["Kadiogo 12", "Zéba 1987"]}, {"doc_id": "y", "french": ["Seul"], "moore": []}]
+    (tmp_path / "docs.json").write_text("\n".join(map(json.dumps, documents)), encoding="utf-8")
+    assert pipelines.main(["align", str(tmp_path / "docs.json"), "--least", "0.9", "--output", str(tmp_path / "aligned")]) == 0
+    assert sorted((r["french_pos"], r["moore_pos"]) for r in _lines(tmp_path / "aligned")) == [(0, 0), (1, 1)]
+    assert pipelines.main(["e2e", str(tmp_path / "docs.json"), "--least", "0.9", "--embed", "tandemtext.plans.jobs:hashed_embedder", "--output", str(tmp_path / "done")]) == 0
+    assert sorted((r["french"], r["quality_warnings"], r["len_ratio"]) for r in _lines(tmp_path / "done")) == [("Kadiogo 12", [], 1.0), ("Zéba 1987", [], 1.0)]
+    for name, rows in (("a", [("un", "x"), ("un", "x"), ("", "y")]), ("b", [("un", "x"), ("deux", "z")])):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"french": f, "moore": m}) for f, m in rows), encoding="utf-8")
+    assert pipelines.main(["assemble", f"news={tmp_path / 'a.jsonl'}", f"web={tmp_path / 'b.jsonl'}", "--output", str(tmp_path / "corpus")]) == 0
+    corpus = [r for f in {x.parent for x in (tmp_path / "corpus").rglob("*.parquet")} for r in spark.read.parquet(str(f)).collect()]
+    assert sorted((r.french, r.source) for r in corpus) == [("deux", "web"), ("un", "news")]
+
+
+def test_manual_pair_and_book(spark):
+    chapters = parsers.parse_manual("Chapitre 1 : Le début\nQuestions\n1. Où va Kadé ? (p. 3)\n2. 12\n3. voir www.x.org\nChapitre 2 : Fin\nTexte. Encore.", ["Questions"])
+    french = spark.createDataFrame(chapters, jobs.MANUAL_SCHEMA)
+    rows = jobs.flatten_manual_pair(french, french, {"Kadé": "Poko"}).orderBy("side", "block", "chapter", "section", "place", "pos").collect()
+    told = {side: [r.sentence for r in rows if r.side == side] for side in ("french", "moore")}
+    assert told["french"][:2] == ["Le début", "Questions"] and "Où va Poko?" in told["french"] and "Où va Kadé ?" in told["moore"]
+    assert told["french"][-2:] == ["Texte.", "Encore."] and not any("www" in s for s in told["french"])
+    page = "page_number int, french_text string, moore_text string"
+    book = spark.createDataFrame([(1, "Titre", "Gom", [(38, "Un.", "Ye."), (39, "Deux.", "Yi.")], [])], f"chapter_number int, title_french string, title_moore string, pages array<struct<{page}>>, enums array<struct<french_title:string,french_text:string,moore_title:string,moore_text:string>>".replace("page_number int, french_text string, moore_text string", "page_number:int,french_text:string,moore_text:string"))
+    count = lambda df: df.where("block = 1 and side = 'french'").count()
+    assert count(pipelines.flatten_book(book)) == 2 and count(pipelines.flatten_book(book, before=jobs.LAST_PAGE)) == 1
+
+
+def test_identifier_in_the_jvm(spark):
+    rows = [(t, lang) for lang, texts in (("fra", ["le chien du village", "la maison est belle", "il mange le pain"]), ("mos", ["biig wã yãa baagã", "a kẽnga daagẽ wã", "sɩngr wã yaa sõma"])) for t in texts]
+    model = models.naive_bayes(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    out = models.identified_by(model, spark.createDataFrame([("le pain du chien",), ("baagã wã yaa",), (None,)], "french string"), "french").collect()
+    assert [r.french_glotlid_lang for r in out][:2] == ["fra", "mos"] and all(0 < r.french_glotlid_prob <= 1 for r in out)
+
+
+def test_three_word_lists(spark):
+    words = lambda *w: spark.createDataFrame([(x,) for x in w], "word string")
+    lists = jobs.foreign_lists({"fr": words("chat", "wa", "sel"), "en": words("cat")}, words("wa", "biiga"), words("sel"))
+    assert {k: [r.word for r in df.collect()] for k, df in lists.items()} == {"foreign": ["cat", "chat", "sel"], "foreign_strict": ["cat", "chat"], "native": ["biiga", "wa"]}
