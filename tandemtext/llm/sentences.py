@@ -24,7 +24,7 @@ NEVER_LAST = {"av", "apr", "éd", "ed", "cf", "vs", "e.g", "i.e", "c.-à-d", "p.
 #: Abbreviations before a number.
 BEFORE_NUMBER = {"p", "pp", "no", "nos", "n", "vol", "fig", "art", "al", "sak", "vug", "env", "approx", "sec", "ch", "chap", "v", "h", "b", "ca", "tél", "tel", "boul", "ann", "i.e", "c.-à-d", "e.g"}
 #: Particles that close and words that open sentences in spaceless scripts.
-FINAL_PARTICLES = "了吧吗呢啊呀嘛的。ครับค่ะ"
+FINAL_PARTICLES = ("了", "吧", "吗", "呢", "啊", "呀", "嘛", "的", "。", "ครับ", "ค่ะ")
 OPENING_WORDS = ("昨天", "今天", "明天", "去年", "今年", "明年", "每", "但是", "因为", "所以", "如果", "虽然", "然后", "后来", "我们", "他们", "她", "他", "我", "你", "这", "那")
 #: Opening words learned from a corpus: least occurrences and most entries (a documented bound).
 LEARNED_LEAST, LEARNED_MOST = 3, 5000
@@ -128,11 +128,11 @@ class Lattice:
         return self.path(run.group())[0] if run else ""
 
 
-def _gap(text: str, at: int, before: str, lattice: Lattice) -> bool:
-    """Class of an ambiguous gap in a spaceless script: opening word after it, or final particle before it."""
+def _gap(text: str, at: int, stop: int, lattice: Lattice) -> bool:
+    """Class of an ambiguous gap, from the mark at ``stop`` to ``at``, in a spaceless script: opening word after it, or final particle before it."""
     if lattice.first(text, at) in lattice.openers:
         return True
-    return before in FINAL_PARTICLES or text[at] in QUOTES or text[at].isdigit()
+    return text.endswith(FINAL_PARTICLES, 0, stop) or text[at] in QUOTES or text[at].isdigit()
 
 
 def units(text: str | None, lattice: Lattice = Lattice()) -> list[tuple[int, int]]:
@@ -212,7 +212,7 @@ def _paragraph(text: str, start: int, end: int, lattice: Lattice, out: list[tupl
             continue
         before = text[at - 1] if at > start else ""
         if _SPACELESS.match(before or " ") and _SPACELESS.match(text, after):
-            if mark.strip(".…") or _gap(text, after, before, lattice):
+            if mark.strip(".…") or _gap(text, after, at, lattice):
                 emit(i)
             continue
         if after == i:  # no white space: only a glued capital begins a sentence
