@@ -28,7 +28,8 @@ def repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def components(df: DataFrame, key: str, links: Sequence[str], most_rounds: int = 60) -> DataFrame:
     """``df`` with ``component``: the least key among rows linked by equal values of any column of ``links``, transitively.
 
-    Rows are joined through the values (a star, never all pairs of a value).
+    Rows are joined through the values (a star, never all pairs of a value),
+    whose 128-bit digests stand for them in every shuffle.
     Each round sends a value the least label of its rows (a pre-aggregated
     minimum) and every row the least of its values' labels, then jumps to the
     label of its label; long chains so halve. Labels are checkpointed each
@@ -36,7 +37,7 @@ def components(df: DataFrame, key: str, links: Sequence[str], most_rounds: int =
     """
     edges = None
     for n, column in enumerate(links):
-        part = df.where(F.col(column).isNotNull()).select(F.col(key).alias("id"), F.concat(F.lit(f"{n}:"), F.col(column).cast("string")).alias("value"))
+        part = df.where(F.col(column).isNotNull()).select(F.col(key).alias("id"), F.md5(F.concat(F.lit(f"{n}:"), F.col(column).cast("string"))).alias("value"))
         edges = part if edges is None else edges.union(part)
     edges = edges.distinct()
     shared = edges.groupBy("value").count().where("count > 1").select("value")

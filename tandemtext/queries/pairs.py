@@ -274,6 +274,12 @@ SELECT DISTINCT regexp_replace(regexp_replace(word, '^\.+', ''), '^-+', '') AS w
     "dedup_first_wins": "SELECT pair_id FROM fr_mos_combined QUALIFY row_number() OVER (PARTITION BY french, moore ORDER BY pair_id, loaded_at) = 1",
     "repeated_sides": f"""WITH p AS {_ONE.format("fr_mos_combined")}, c AS (SELECT pair_id, french, moore, count(*) OVER (PARTITION BY french) AS a, count(*) OVER (PARTITION BY moore) AS b FROM p)
 SELECT pair_id FROM c WHERE (french IS NOT NULL AND a > 1) OR (moore IS NOT NULL AND b > 1)""",
+    "dedup_components_keep_best": """WITH RECURSIVE p AS (SELECT pair_id, french, moore, CASE WHEN isnan(comet_qe) THEN NULL ELSE comet_qe END AS q FROM fr_mos_combined),
+t AS (SELECT pair_id, 'f' || french AS v FROM p WHERE french IS NOT NULL UNION ALL SELECT pair_id, 'm' || moore FROM p WHERE moore IS NOT NULL),
+e AS (SELECT DISTINCT a.pair_id AS a, b.pair_id AS b FROM t a JOIN t b USING (v)),
+r AS (SELECT pair_id AS a, pair_id AS b FROM p UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS pair_id, min(b) AS component FROM r GROUP BY a)
+SELECT pair_id, component FROM c JOIN p USING (pair_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY q DESC NULLS LAST, pair_id) = 1""",
     "stratified_split": _SPLIT + " SELECT doc_id, source, split FROM o",
     "split_report": _SPLIT + " SELECT split, source, count(*) AS n FROM o GROUP BY split, source",
     "split_source_rollup": """SELECT split_name, source, count(*) AS n, grouping(split_name, source)::INTEGER AS level FROM (SELECT split_name, lower(trim(source)) AS source FROM fr_mos_combined)
