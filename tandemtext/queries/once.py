@@ -17,9 +17,10 @@ REPEATING = {
 
 
 def once(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """``columns`` (and the key) of the latest row of each key."""
+    """``columns`` (and the key) of the latest row of each key; a table without a time of load repeats nothing."""
     key, time, several = REPEATING[name]
-    df = latest(table(spark, sf, name, *dict.fromkeys([key, *columns, time])), key, time).select(*dict.fromkeys([key, *columns]))
+    wanted, df = list(dict.fromkeys([key, *columns])), table(spark, sf, name)
+    df = latest(df.select(*dict.fromkeys([*wanted, time])), key, time).select(*wanted) if time in df.columns else df.select(*wanted)
     return df.withColumn("source", F.lower(F.trim("source"))) if several and "source" in columns else df
 
 
