@@ -23,7 +23,7 @@ def shuffled(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
 
 
 def row_slice(df: DataFrame, order: Sequence[str], start: int | None = None, end: int | None = None) -> DataFrame:
-    """Rows ``start:end`` of an ordered table as Python slices them, negative and open ends included.
+    """Rows ``start:end`` of an ordered table as Python slices them, in order, negative and open ends included.
 
     Rows are numbered in ranges of their order (see ``ranges``): no task sees all of them.
     """
@@ -31,7 +31,7 @@ def row_slice(df: DataFrame, order: Sequence[str], start: int | None = None, end
     total = F.lit(0) if (start or 0) >= 0 and (end or 0) >= 0 else F.lit(df.count())
     bound = lambda n: total + n if n < 0 else F.lit(n)
     out = numbered if start is None else numbered.where(F.col("__place") >= bound(start))
-    return (out if end is None else out.where(F.col("__place") < bound(end))).drop("__place", ranges.PART)
+    return (out if end is None else out.where(F.col("__place") < bound(end))).drop("__place", ranges.PART).orderBy(*order)
 
 
 def stratified_split(df: DataFrame, stratum: str, keys: Sequence[str], dev: int, test: int, seed: int = 42, name: str = "split") -> DataFrame:
