@@ -6,19 +6,33 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cached_property
+from hashlib import blake2b
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandemtext.llm.text import PlainWords
-from tandemtext.session import cut_lineage
+from tandemtext.session import stored
 
 #: One word in so many may differ.
 EVERY = 5
-#: Evaluation records of one shard of automata.
-SHARD = 20_000
+#: Candidates of one shard of automata.
+SHARD = 2_000
+#: Evaluation classes of one index.
+BLOCK = 500_000
+#: Texts of more words are keyed by runs of GRAM words, others by sets of words.
+LONG, GRAM = 50, 4
+#: Most words (or runs) of a key.
+DEPTH = 4
+#: Key and candidate pairs that are compared at once.
+AT_ONCE = 1_000_000
+#: Layout of a code: rarity (quarters of a bit, counted down, so that rare words sort first) above LOW bits of hash.
+LOW, TOP = 54, 255
+#: Rarity is told apart up to one text in 2 ** SEEN.
+SEEN = 14
 
 
 def limit(n: int, every: int = EVERY) -> int:
@@ -146,8 +160,194 @@ class Shard:
                     yield self.keys[k]
 
 
+class Codes(dict):
+    """Word -> its code, rare words before frequent ones; made once a word, emptied at ``limit`` words."""
+
+    def __init__(self, counts: dict[str, int], texts: int, limit: int = 1_000_000):
+        super().__init__()
+        self.counts, self.texts, self.limit = counts, texts, limit
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        n = self.counts.get(word)
+        bits = math.log2(self.texts / n) if n else min(SEEN, math.log2(self.texts + 1))
+        hashed = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little") >> (64 - LOW)
+        found = self[word] = (TOP - round(4 * bits)) << LOW | hashed
+        return found
+
+    def __reduce__(self):
+        return Codes, (self.counts, self.texts, self.limit)
+
+
+def reach(n: int, every: int = EVERY) -> int:
+    """Words of the longest text within the limit of one of ``n`` words."""
+    m = n
+    while m + 1 - n <= limit(m + 1, every):
+        m += 1
+    return m
+
+
+def broken(n: int, size: int, every: int = EVERY) -> int:
+    """Runs of ``size`` words of a text of ``n`` words that the edits within the limit can break.
+
+    A word replaced or lost breaks ``size`` runs, one added between two words
+    breaks ``size - 1``; a longer text has at least as many words added as it
+    is longer.
+    """
+    return max(size * limit(m, every) - (m - n) for m in range(n, reach(n, every) + 1))
+
+
+def runs(codes: list[int], size: int) -> list[int]:
+    """Codes of the runs of ``size`` words; the rarity of a run is that of its words."""
+    out, low = [], (1 << LOW) - 1
+    for k in range(len(codes) - size + 1):
+        bits, mixed = 0, 0
+        for c in codes[k : k + size]:
+            bits += TOP - (c >> LOW)
+            mixed = (mixed * 0x100000001B3 + (c & low)) & low
+        out.append((TOP - min(TOP, bits)) << LOW | mixed)
+    return out
+
+
+def keys(codes: np.ndarray, starts: np.ndarray, spare: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of every row; rows that keep all but ``spare`` of their codes in common have a key in common.
+
+    ``codes`` has the sorted codes of row k at starts[k]:starts[k + 1]. Codes
+    in common, rarest first, stand behind ``spare`` others at most; a key is
+    made of the first of them, of as many as are together rare enough
+    (``need`` quarters of a bit) or DEPTH, or of all where there are no more.
+    Each row gives the keys of all the choices that it leaves open.
+    """
+    count = np.diff(starts)
+    fresh = np.ones(len(codes), bool)
+    fresh[1:] = codes[1:] != codes[:-1]
+    fresh[starts[:-1][count > 0]] = True
+    first = np.flatnonzero(fresh)
+    again = np.arange(len(codes)) - first[np.cumsum(fresh) - 1] if len(codes) else np.zeros(0, np.int64)
+    mixed = codes + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # a repeated word is another word
+    rarity = TOP - (codes >> np.uint64(LOW)).astype(np.int64)
+    row = np.arange(len(count))
+    place, skipped, bits, key = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64), np.zeros(len(count), np.int64), np.zeros(len(count), np.uint64)
+    rows, found = [], []
+    for depth in range(1, DEPTH + 1):
+        left, open_ = count[row] - place, spare[row] - skipped
+        ends = left <= open_
+        rows.append(row[ends])
+        found.append(key[ends] ^ np.uint64(1))
+        room = np.maximum(np.minimum(open_ + 1, left), 0)
+        at = np.repeat(np.arange(len(row)), room)
+        skip = np.arange(len(at)) - np.repeat(np.cumsum(room) - room, room)
+        row, place, skipped, bits, key = row[at], place[at] + skip, skipped[at] + skip, bits[at], key[at]
+        token = starts[row] + place
+        key = (key ^ mixed[token]) * np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+        bits = bits + rarity[token]
+        done = bits >= need if depth < DEPTH else np.ones(len(row), bool)
+        rows.append(row[done])
+        found.append(key[done])
+        row, place, skipped, bits, key = row[~done], place[~done] + 1, skipped[~done], bits[~done], key[~done]
+    return np.concatenate(rows), np.concatenate(found)
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    starts = np.cumsum([0, *map(len, lists)])
+    return np.fromiter((c for x in lists for c in x), np.uint64, starts[-1]), starts
+
+
+class Sketches:
+    """Word counts, sketches and keys of texts, the keys of one language (``side``)."""
+
+    def __init__(self, codes: Codes, side: int, need: int, every: int):
+        self.codes, self.side, self.need, self.every = codes, side, need, every
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        return np.fromiter((t.count(" ") + 1 for t in texts), np.int64, len(texts))
+
+    def bits(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A bit for each code, those that meet cancelled: it differs in no more places than the texts in words."""
+        return np.bitwise_xor.reduceat(np.uint64(1) << (codes & np.uint64(63)), starts[:-1]) if len(codes) else np.zeros(0, np.uint64)
+
+    def of(self, texts: tuple[list[str], list[str]]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+        """(words of both sides, sketches of both sides, row of each key, key)."""
+        codes = self.codes
+        own = [[codes[w] for w in t.split(" ")] for t in texts[self.side]]
+        other = [[codes[w] for w in t.split(" ")] for t in texts[1 - self.side]]
+        words, sketches = [np.zeros(0)] * 2, [np.zeros(0)] * 2
+        for k, lists in ((self.side, own), (1 - self.side, other)):
+            flat, starts = _flat(lists)
+            words[k], sketches[k] = np.diff(starts), self.bits(flat, starts)
+        n = words[self.side]
+        rows, found = [], []
+        short = np.flatnonzero(n <= LONG)
+        longest = {int(m): reach(int(m), self.every) for m in np.unique(n)}
+        long = np.array([k for k, m in enumerate(n.tolist()) if longest[m] > LONG], np.int64)
+        for kind, which in ((0, short), (1, long)):
+            if len(which):
+                lists = [sorted(runs(own[k], GRAM) if kind else own[k]) for k in which]
+                lost = {int(m): broken(int(m), GRAM if kind else 1, self.every) for m in np.unique(n[which])}
+                row, key = keys(*_flat(lists), np.array([lost[m] for m in n[which].tolist()], np.int64), self.need)
+                rows.append(which[row])
+                found.append(key + np.uint64(kind))
+        return words, sketches, np.concatenate(rows or [short]), np.concatenate(found or [np.zeros(0, np.uint64)])
+
+
+class Index:
+    """Evaluation classes of a block by their keys: places in ``held`` between two of ``starts`` have the bucket's classes."""
+
+    def __init__(self, parts: list[tuple], every: int, sketches: Sketches):
+        self.every, self.sketches = every, sketches
+        self.classes = b"".join(p[0] for p in parts)
+        self.words = [np.concatenate([np.frombuffer(p[k], np.int64) for p in parts]) for k in (1, 2)]
+        self.bits = [np.concatenate([np.frombuffer(p[k], np.uint64) for p in parts]) for k in (3, 4)]
+        base = np.cumsum([0, *(len(p[0]) // 16 for p in parts)])
+        owner = np.concatenate([np.frombuffer(p[5], np.uint32) + np.uint32(b) for p, b in zip(parts, base)])
+        key = np.concatenate([np.frombuffer(p[6], np.uint32) for p in parts])
+        self.size = max(8, min(24, int(len(key)).bit_length()))
+        both = (key >> np.uint32(32 - self.size)).astype(np.uint64) << np.uint64(32)
+        both |= owner
+        del key, owner
+        both.sort()
+        self.held = both.astype(np.uint32)
+        self.starts = np.searchsorted(both >> np.uint64(32), np.arange((1 << self.size) + 1, dtype=np.uint64)).astype(np.int64)
+        self.near = [self._near(w) for w in self.words]
+
+    def _near(self, words: np.ndarray) -> np.ndarray:
+        """Whether texts of so many words can be within the limit of one of the block; longer ones than the last cannot."""
+        out = np.zeros(reach(int(words.max()), self.every) + 2, bool)
+        for m in np.unique(words).tolist():
+            out[m - limit(m, self.every) : reach(m, self.every) + 1] = True
+        return out
+
+    def within_reach(self, words: list[np.ndarray]) -> np.ndarray:
+        return np.logical_and(*(n[np.minimum(w, len(n) - 1)] for n, w in zip(self.near, words)))
+
+    def candidates(self, words: list[np.ndarray], bits: list[np.ndarray], row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, class) pairs that share a bucket and whose sketches allow the texts to be within the limit in both languages."""
+        bucket = (key >> np.uint64(64 - self.size)).astype(np.int64)
+        begin, count = self.starts[bucket], self.starts[bucket + 1] - self.starts[bucket]
+        some = count > 0
+        row, begin, count = row[some], begin[some], count[some]
+        upto = np.cumsum(count)
+        pairs, at, side = [], 0, self.sketches.side
+        while at < len(row):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + AT_ONCE)))
+            c = count[at:to]
+            i = np.repeat(row[at:to], c)
+            j = self.held[np.arange(int(c.sum())) + np.repeat(begin[at:to] - (np.cumsum(c) - c), c)]
+            for k in (side, 1 - side):
+                n, m = words[k][i], self.words[k][j]
+                allowed = 2 * (np.maximum(n, m) // self.every) - np.abs(n - m)
+                fits = np.bitwise_count(bits[k][i] ^ self.bits[k][j]) <= allowed
+                i, j = i[fits], j[fits]
+            pairs.append(i.astype(np.uint64) << np.uint64(32) | j)
+            at = to
+        both = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
+        return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def classes(records: DataFrame, key: str, texts: tuple[str, str], split: str) -> DataFrame:
-    """(key, split, source, class, first, second): plain forms of both texts; records without either are left out."""
+    """(key, split, class, first, second): plain forms of both texts; records without either are left out."""
     columns = [key, split, *texts]
     schema = f"`{key}` {records.schema[key].dataType.simpleString()}, `{split}` string, first string, second string"
 
@@ -160,7 +360,46 @@ def classes(records: DataFrame, key: str, texts: tuple[str, str], split: str) ->
 
     usable = records.select(*columns).where(f"`{texts[0]}` is not null and `{texts[1]}` is not null and `{split}` is not null and `{key}` is not null")
     plain = usable.mapInPandas(run, schema)
-    return plain.withColumn("class", F.md5(F.concat_ws("\x1f", "first", "second")))
+    return plain.withColumn("class", F.unhex(F.md5(F.concat_ws("\x1f", "first", "second"))))
+
+
+def _sketches(held: DataFrame, block: int, every: int) -> Sketches | None:
+    """How texts are keyed: by the side that tells evaluation classes apart in fewer words, and by the rarity of its words among them."""
+    sides = ("first", "second")
+    about = [x for c in sides for x in (F.approx_count_distinct(c), F.sum(F.size(F.split(c, " "))))]
+    n, first, long_first, second, long_second = held.agg(F.count("*"), *about).first()
+    if not n:
+        return None
+    side = int(second >= 0.9 * first and (long_second < long_first or first < 0.9 * second))
+    words = held.select(F.explode(F.array_distinct(F.split(sides[side], " "))).alias("w")).groupBy("w").count().where(F.col("count") * 2**SEEN >= n)
+    counts = words.toPandas()
+    need = round(4 * max(1, math.log2(min(n, block)) - 3))
+    return Sketches(Codes(dict(zip(counts["w"], counts["count"].tolist())), n), side, need, every)
+
+
+def _blocks(spark: SparkSession, held: DataFrame, sketches: Sketches, block: int) -> Iterator[Index]:
+    """Indexes of ``block`` evaluation classes each; sketches and keys are made in tasks, the driver sorts them."""
+    shared = spark.sparkContext.broadcast(sketches)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for k in range(0, len(whole), block):
+                batch = whole.iloc[k : k + block]
+                words, bits, row, key = shared.value.of((batch["first"].tolist(), batch["second"].tolist()))
+                numbers = [x.astype(t).tobytes() for x, t in ((words[0], np.int64), (words[1], np.int64), (bits[0], np.uint64), (bits[1], np.uint64), (row, np.uint32), (key >> np.uint64(32), np.uint32))]
+                yield pd.DataFrame([[b"".join(bytes(c) for c in batch["class"]), *numbers]], columns=list("abcdefg"))
+
+    parts: list[tuple] = []
+    count = 0
+    for part in held.select("class", "first", "second").mapInPandas(run, ", ".join(f"{c} binary" for c in "abcdefg")).toLocalIterator():
+        size = len(part[0]) // 16
+        if parts and count + size > block:
+            yield Index(parts, sketches.every, sketches)
+            parts, count = [], 0
+        parts.append(tuple(map(bytes, part)))
+        count += size
+    if parts:
+        yield Index(parts, sketches.every, sketches)
 
 
 def matched_classes(
@@ -172,43 +411,62 @@ def matched_classes(
     train: str = "train",
     every: int = EVERY,
     shard: int = SHARD,
+    block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
     """((key, split, class) of all records, (train_class, eval_class) whose texts are the same or near).
 
-    Copies are one class each: evaluation classes stream to the driver in
-    shards of ``shard``, whose Aho-Corasick automata scan every training class;
-    records covered enough in both languages are verified by edit distance, so a
-    text copied a million times is scanned once. Plain texts are written to a
-    checkpoint once; all shards are scanned in one job, in which they share the
-    shuffle of the classes.
+    Copies are one class each. Evaluation classes are indexed by their keys
+    (see :func:`keys`) in blocks of ``block``; training texts find in each
+    index the few classes whose words can be within the limit, by keys that
+    grow rarer with the number of classes, so that the work follows the
+    input. Candidates meet the evaluation texts in a join; Aho-Corasick
+    automata over the passages of ``shard`` candidates give the coverage of
+    each record, and edit distance verifies. Plain texts are stored once, all
+    indexes are searched in one job.
     """
-    plain = cut_lineage(classes(records, key, texts, split))
-    kinds = plain.groupBy("class", "first", "second").agg(
-        F.max((F.col(split) == train).cast("int")).alias("in_train"), F.max((F.col(split) != train).cast("int")).alias("in_eval")
-    )
-    trained = kinds.where("in_train = 1").select("class", "first", "second")
-    found: DataFrame | None = None
-    rows: list[tuple[str, str, str]] = []
+    plain = stored(classes(records, key, texts, split))
+    columns = ["class", "first", "second"]
+    held = plain.where(F.col(split) != train).select(*columns).dropDuplicates(["class"])
+    trained = plain.where(F.col(split) == train).select(*columns)
+    near: DataFrame | None = None
 
-    def scan(rows: list[tuple[str, str, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Shard(rows, every))
+    def search(index: Index) -> DataFrame:
+        shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            own = shared.value
             for batch in batches:
-                pairs = [(c, e) for c, a, b in zip(batch["class"], batch["first"], batch["second"]) for e in shared.value.matches(a, b)]
-                yield pd.DataFrame(pairs, columns=["train_class", "eval_class"], dtype=str)
-
-        return trained.mapInPandas(run, "train_class string, eval_class string")
-
-    for row in kinds.where("in_eval = 1").select("class", "first", "second").toLocalIterator():
-        rows.append(tuple(row))
-        if len(rows) >= shard:
-            part = scan(rows)
-            found, rows = part if found is None else found.union(part), []
-    if rows or found is None:
-        part = scan(rows)
-        found = part if found is None else found.union(part)
-    return plain.select(key, split, "class"), found
+                batch = batch.drop_duplicates("class")
+                counts = [own.sketches.counts(batch[c].tolist()) for c in ("first", "second")]
+                batch = batch[own.within_reach(counts)]
+                row, found = own.candidates(*own.sketches.of((batch["first"].tolist(), batch["second"].tolist()))) if len(batch) else ((), ())
+                out = batch.iloc[row].rename(columns={"class": "train_class"})
+                out["eval_class"] = [own.classes[16 * j : 16 * j + 16] for j in found]
+                yield out
+
+        return trained.mapInPandas(run, "train_class binary, first string, second string, eval_class binary")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            whole = whole.sort_values("eval_class", kind="stable")
+            for k in range(0, max(1, len(whole)), shard):
+                batch = whole.iloc[k : k + shard]
+                wanted = set(zip(batch["train_class"], batch["eval_class"]))
+                made = Shard(list(batch.drop_duplicates("eval_class")[["eval_class", "held_first", "held_second"]].itertuples(index=False, name=None)), every)
+                own = batch.drop_duplicates("train_class")
+                pairs = [(c, e) for c, a, b in zip(own["train_class"], own["first"], own["second"]) for e in made.matches(a, b) if (c, e) in wanted]
+                yield pd.DataFrame(pairs, columns=["train_class", "eval_class"], dtype=object)
+
+    sketches = _sketches(held, block, every)
+    for index in _blocks(spark, held, sketches, block) if sketches else ():
+        part = search(index)
+        near = part if near is None else near.union(part)
+    members = plain.select(key, split, "class")
+    if near is None:
+        return members, spark.createDataFrame([], "train_class binary, eval_class binary")
+    near = near.dropDuplicates(["train_class", "eval_class"])
+    texts_ = held.select(F.col("class").alias("eval_class"), F.col("first").alias("held_first"), F.col("second").alias("held_second"))
+    return members, near.join(texts_, "eval_class").mapInPandas(verify, "train_class binary, eval_class binary")
 
 
 def cross_split_pairs(
@@ -220,6 +478,7 @@ def cross_split_pairs(
     train: str = "train",
     every: int = EVERY,
     shard: int = SHARD,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(key_a, key_b): pairs of a training record and another split's record whose texts are the same or near.
 
@@ -230,7 +489,7 @@ def cross_split_pairs(
     records without a split form no pair; repeated rows should have been
     reduced to one per key.
     """
-    members, found = matched_classes(spark, records, key, texts, split, train, every, shard)
+    members, found = matched_classes(spark, records, key, texts, split, train, every, shard, block)
     a = members.where(F.col(split) == train).select(F.col(key).alias("a"), F.col("class").alias("train_class"))
     b = members.where(F.col(split) != train).select(F.col(key).alias("b"), F.col("class").alias("eval_class"))
     pairs = found.join(b, "eval_class").join(a, "train_class")

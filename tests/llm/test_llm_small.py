@@ -224,6 +224,37 @@ def test_cross_split_pairs_against_brute_force(spark):
     assert overlaps.cross_split_pairs(spark, df.limit(0)).count() == 0
 
 
+def test_texts_within_the_limit_share_a_key_and_candidates_stay_few():
+    rng = random.Random(14)
+    held = [rng.choices(WORDS, k=rng.randrange(1, 30)) for _ in range(3000)] + [rng.choices(WORDS, k=rng.randrange(40, 130)) for _ in range(150)] + [["lo"] * n for n in (4, 5, 21, 55, 70)]
+    near = [edited(rng, t, rng.randrange(1 + len(t) // 4)) for t in held]
+    counts = {w: sum(w in t for t in held) for w in WORDS}
+    sketches = overlaps.Sketches(overlaps.Codes(counts, len(held)), 1, round(4 * (np.log2(len(held)) - 3)), 5)
+    a, b = ([" ".join(t) for t in texts] for texts in (held, near))
+    words, bits, row, key = sketches.of((a, a))
+    index = overlaps.Index([(bytes(16 * len(a)), *(x.tobytes() for x in (*words, *bits, row.astype(np.uint32), (key >> np.uint64(32)).astype(np.uint32))))], 5, sketches)
+    words, bits, row, key = sketches.of((b, b))
+    found = set(zip(*(x.tolist() for x in index.candidates(words, bits, row, key))))
+    due = [k for k, (x, y) in enumerate(zip(held, near)) if distance(x, y) <= max(len(x), len(y)) // 5]
+    assert len(due) > 2000 and all((k, k) in found for k in due)
+    assert index.within_reach(words)[due].all()
+    assert len(found) < 4 * len(held)  # of nine million pairs
+
+
+def test_overlaps_of_several_blocks_are_those_of_one(spark):
+    rng = random.Random(15)
+    rows = []
+    for k in range(100):
+        f, m = rng.choices(WORDS, k=rng.randrange(1, 90)), rng.choices(WORDS, k=rng.randrange(1, 90))
+        for name in ("train", "test"):
+            rows.append((len(rows), " ".join(edited(rng, f, len(f) // 8)), " ".join(edited(rng, m, len(m) // 8)), name, "x"))
+    df = spark.createDataFrame(rows, "pair_id bigint, french string, moore string, split_name string, source string")
+    got = sorted(map(tuple, overlaps.cross_split_pairs(spark, df, shard=9, block=13).collect()))
+    within = lambda x, y: distance(x, y) <= max(len(x), len(y)) // 5
+    split = [(i, f.split(" "), m.split(" "), s) for i, f, m, s, _ in rows]
+    assert got == sorted((min(i, j), max(i, j)) for i, f, m, s in split for j, g, n, t in split if s == "train" and t == "test" and within(f, g) and within(m, n)) and len(got) > 20
+
+
 # --- alignment ------------------------------------------------------------------------------------------------------
 
 
