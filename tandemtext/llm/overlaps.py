@@ -7,10 +7,12 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cached_property
 from hashlib import blake2b
+from itertools import islice
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,8 @@ from tandemtext.session import stored
 EVERY = 5
 #: Candidates of one shard of automata.
 SHARD = 2_000
-#: Evaluation classes of one index.
-BLOCK = 500_000
+#: Evaluation classes of one index, which the driver sorts, and indexes that a worker searches at once (about 50 MB each).
+BLOCK, TOGETHER = 250_000, 4
 #: Texts of more words are keyed by runs of GRAM words, others by sets of words.
 LONG, GRAM = 50, 4
 #: Most words (or runs) of a key.
@@ -250,11 +252,6 @@ def keys(codes: np.ndarray, starts: np.ndarray, spare: np.ndarray, need: int) ->
     return np.concatenate(rows), np.concatenate(found)
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.cumsum([0, *map(len, lists)])
-    return np.fromiter((c for x in lists for c in x), np.uint64, starts[-1]), starts
-
-
 class Sketches:
     """Word counts, sketches and keys of texts, the keys of one language (``side``)."""
 
@@ -270,46 +267,46 @@ class Sketches:
 
     def of(self, texts: tuple[list[str], list[str]]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
         """(words of both sides, sketches of both sides, row of each key, key)."""
-        codes = self.codes
-        own = [[codes[w] for w in t.split(" ")] for t in texts[self.side]]
-        other = [[codes[w] for w in t.split(" ")] for t in texts[1 - self.side]]
-        words, sketches = [np.zeros(0)] * 2, [np.zeros(0)] * 2
-        for k, lists in ((self.side, own), (1 - self.side, other)):
-            flat, starts = _flat(lists)
-            words[k], sketches[k] = np.diff(starts), self.bits(flat, starts)
-        n = words[self.side]
-        rows, found = [], []
-        short = np.flatnonzero(n <= LONG)
-        longest = {int(m): reach(int(m), self.every) for m in np.unique(n)}
-        long = np.array([k for k, m in enumerate(n.tolist()) if longest[m] > LONG], np.int64)
-        for kind, which in ((0, short), (1, long)):
-            if len(which):
-                lists = [sorted(runs(own[k], GRAM) if kind else own[k]) for k in which]
-                lost = {int(m): broken(int(m), GRAM if kind else 1, self.every) for m in np.unique(n[which])}
-                row, key = keys(*_flat(lists), np.array([lost[m] for m in n[which].tolist()], np.int64), self.need)
-                rows.append(which[row])
-                found.append(key + np.uint64(kind))
-        return words, sketches, np.concatenate(rows or [short]), np.concatenate(found or [np.zeros(0, np.uint64)])
+        words, flat = [self.counts(t) for t in texts], []
+        for side in texts:
+            tokens = " ".join(side).split(" ") if side else []
+            flat.append(np.fromiter(map(self.codes.__getitem__, tokens), np.uint64, len(tokens)))
+        starts = [np.cumsum([0, *n]) for n in words]
+        sketches = [self.bits(f, x) for f, x in zip(flat, starts)]
+        n, codes, starts = words[self.side], flat[self.side], starts[self.side]
+        sizes, size_of = np.unique(n, return_inverse=True)
+        lost = lambda size: np.array([broken(m, size, self.every) for m in sizes.tolist()], np.int64)[size_of]
+        of_row = np.repeat(np.arange(len(n)), n)
+        short = n <= LONG
+        some, own = short[of_row], np.flatnonzero(short)
+        codes_, of_row_ = codes[some], of_row[some]
+        row, key = keys(codes_[np.lexsort((codes_, of_row_))], np.cumsum([0, *n[own]]), lost(1)[own], self.need)
+        rows, found = [own[row]], [key]
+        far = np.flatnonzero(np.array([reach(m, self.every) for m in sizes.tolist()], np.int64)[size_of] > LONG)
+        if len(far):
+            lists = [sorted(runs(codes[starts[k] : starts[k + 1]].tolist(), GRAM)) for k in far]
+            row, key = keys(np.array([c for x in lists for c in x], np.uint64), np.cumsum([0, *map(len, lists)]), lost(GRAM)[far], self.need)
+            rows.append(far[row])
+            found.append(key)
+        return words, sketches, np.concatenate(rows), np.concatenate(found)
 
 
 class Index:
     """Evaluation classes of a block by their keys: places in ``held`` between two of ``starts`` have the bucket's classes."""
 
-    def __init__(self, parts: list[tuple], every: int, sketches: Sketches):
-        self.every, self.sketches = every, sketches
+    def __init__(self, parts: list[tuple], every: int, side: int):
+        self.every, self.side = every, side
         self.classes = b"".join(p[0] for p in parts)
-        self.words = [np.concatenate([np.frombuffer(p[k], np.int64) for p in parts]) for k in (1, 2)]
+        self.words = [np.concatenate([np.frombuffer(p[k], np.int32) for p in parts]) for k in (1, 2)]
         self.bits = [np.concatenate([np.frombuffer(p[k], np.uint64) for p in parts]) for k in (3, 4)]
-        base = np.cumsum([0, *(len(p[0]) // 16 for p in parts)])
-        owner = np.concatenate([np.frombuffer(p[5], np.uint32) + np.uint32(b) for p, b in zip(parts, base)])
-        key = np.concatenate([np.frombuffer(p[6], np.uint32) for p in parts])
-        self.size = max(8, min(24, int(len(key)).bit_length()))
-        both = (key >> np.uint32(32 - self.size)).astype(np.uint64) << np.uint64(32)
-        both |= owner
-        del key, owner
+        base = np.cumsum([0, *(len(p[0]) // 16 for p in parts)]).astype(np.uint64)
+        both = np.concatenate([np.frombuffer(p[5], np.uint64) + b for p, b in zip(parts, base)])  # a key's upper half, and the place of its class
+        parts.clear()
         both.sort()
+        self.size = max(8, min(24, int(len(both)).bit_length() - 1))
         self.held = both.astype(np.uint32)
-        self.starts = np.searchsorted(both >> np.uint64(32), np.arange((1 << self.size) + 1, dtype=np.uint64)).astype(np.int64)
+        edges = np.arange(1 << self.size, dtype=np.uint64) << np.uint64(64 - self.size)
+        self.starts = np.append(np.searchsorted(both, edges), len(both)).astype(np.uint32)
         self.near = [self._near(w) for w in self.words]
 
     def _near(self, words: np.ndarray) -> np.ndarray:
@@ -325,11 +322,12 @@ class Index:
     def candidates(self, words: list[np.ndarray], bits: list[np.ndarray], row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, class) pairs that share a bucket and whose sketches allow the texts to be within the limit in both languages."""
         bucket = (key >> np.uint64(64 - self.size)).astype(np.int64)
-        begin, count = self.starts[bucket], self.starts[bucket + 1] - self.starts[bucket]
+        begin = self.starts[bucket].astype(np.int64)
+        count = self.starts[bucket + 1] - begin
         some = count > 0
         row, begin, count = row[some], begin[some], count[some]
         upto = np.cumsum(count)
-        pairs, at, side = [], 0, self.sketches.side
+        pairs, at, side = [], 0, self.side
         while at < len(row):
             to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + AT_ONCE)))
             c = count[at:to]
@@ -373,12 +371,12 @@ def _sketches(held: DataFrame, block: int, every: int) -> Sketches | None:
     side = int(second >= 0.9 * first and (long_second < long_first or first < 0.9 * second))
     words = held.select(F.explode(F.array_distinct(F.split(sides[side], " "))).alias("w")).groupBy("w").count().where(F.col("count") * 2**SEEN >= n)
     counts = words.toPandas()
-    need = round(4 * max(1, math.log2(min(n, block)) - 3))
+    need = round(4 * max(1, math.log2(min(n, block * TOGETHER)) - 5))
     return Sketches(Codes(dict(zip(counts["w"], counts["count"].tolist())), n), side, need, every)
 
 
-def _blocks(spark: SparkSession, held: DataFrame, sketches: Sketches, block: int) -> Iterator[Index]:
-    """Indexes of ``block`` evaluation classes each; sketches and keys are made in tasks, the driver sorts them."""
+def _blocks(spark: SparkSession, held: DataFrame, sketches: Sketches, block: int) -> Iterator[Broadcast]:
+    """Indexes of ``block`` evaluation classes each, one at a time in the driver's memory; sketches and keys are made in tasks, the driver sorts them."""
     shared = spark.sparkContext.broadcast(sketches)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -386,20 +384,20 @@ def _blocks(spark: SparkSession, held: DataFrame, sketches: Sketches, block: int
             for k in range(0, len(whole), block):
                 batch = whole.iloc[k : k + block]
                 words, bits, row, key = shared.value.of((batch["first"].tolist(), batch["second"].tolist()))
-                numbers = [x.astype(t).tobytes() for x, t in ((words[0], np.int64), (words[1], np.int64), (bits[0], np.uint64), (bits[1], np.uint64), (row, np.uint32), (key >> np.uint64(32), np.uint32))]
-                yield pd.DataFrame([[b"".join(bytes(c) for c in batch["class"]), *numbers]], columns=list("abcdefg"))
+                both = (key >> np.uint64(32) << np.uint64(32)) | row.astype(np.uint64)
+                yield pd.DataFrame([[b"".join(map(bytes, batch["class"])), *(x.astype(np.int32).tobytes() for x in words), *(x.tobytes() for x in (*bits, both))]], columns=list("abcdef"))
 
     parts: list[tuple] = []
     count = 0
-    for part in held.select("class", "first", "second").mapInPandas(run, ", ".join(f"{c} binary" for c in "abcdefg")).toLocalIterator():
+    for part in held.select("class", "first", "second").mapInPandas(run, ", ".join(f"{c} binary" for c in "abcdef")).toLocalIterator():
         size = len(part[0]) // 16
         if parts and count + size > block:
-            yield Index(parts, sketches.every, sketches)
-            parts, count = [], 0
+            yield spark.sparkContext.broadcast(Index(parts, sketches.every, sketches.side))
+            count = 0
         parts.append(tuple(map(bytes, part)))
         count += size
     if parts:
-        yield Index(parts, sketches.every, sketches)
+        yield spark.sparkContext.broadcast(Index(parts, sketches.every, sketches.side))
 
 
 def matched_classes(
@@ -421,8 +419,8 @@ def matched_classes(
     grow rarer with the number of classes, so that the work follows the
     input. Candidates meet the evaluation texts in a join; Aho-Corasick
     automata over the passages of ``shard`` candidates give the coverage of
-    each record, and edit distance verifies. Plain texts are stored once, all
-    indexes are searched in one job.
+    each record, and edit distance verifies. Plain texts are stored once; a
+    pass over them searches TOGETHER indexes, all passes are one job.
     """
     plain = stored(classes(records, key, texts, split))
     columns = ["class", "first", "second"]
@@ -430,19 +428,19 @@ def matched_classes(
     trained = plain.where(F.col(split) == train).select(*columns)
     near: DataFrame | None = None
 
-    def search(index: Index) -> DataFrame:
-        shared = spark.sparkContext.broadcast(index)
-
+    def search(sketches: Sketches, shared: list) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own = shared.value
+            indexes = [x.value for x in shared]
             for batch in batches:
                 batch = batch.drop_duplicates("class")
-                counts = [own.sketches.counts(batch[c].tolist()) for c in ("first", "second")]
-                batch = batch[own.within_reach(counts)]
-                row, found = own.candidates(*own.sketches.of((batch["first"].tolist(), batch["second"].tolist()))) if len(batch) else ((), ())
-                out = batch.iloc[row].rename(columns={"class": "train_class"})
-                out["eval_class"] = [own.classes[16 * j : 16 * j + 16] for j in found]
-                yield out
+                counts = [sketches.counts(batch[c].tolist()) for c in ("first", "second")]
+                batch = batch[np.logical_or.reduce([x.within_reach(counts) for x in indexes])]
+                words, bits, row, key = sketches.of((batch["first"].tolist(), batch["second"].tolist()))
+                for own in indexes:
+                    i, found = own.candidates(words, bits, row, key)
+                    out = batch.iloc[i].rename(columns={"class": "train_class"})
+                    out["eval_class"] = [own.classes[16 * j : 16 * j + 16] for j in found]
+                    yield out
 
         return trained.mapInPandas(run, "train_class binary, first string, second string, eval_class binary")
 
@@ -458,8 +456,9 @@ def matched_classes(
                 yield pd.DataFrame(pairs, columns=["train_class", "eval_class"], dtype=object)
 
     sketches = _sketches(held, block, every)
-    for index in _blocks(spark, held, sketches, block) if sketches else ():
-        part = search(index)
+    indexes = _blocks(spark, held, sketches, block) if sketches else iter(())
+    while shared := list(islice(indexes, TOGETHER)):
+        part = search(sketches, shared)
         near = part if near is None else near.union(part)
     members = plain.select(key, split, "class")
     if near is None:

@@ -232,7 +232,8 @@ def test_texts_within_the_limit_share_a_key_and_candidates_stay_few():
     sketches = overlaps.Sketches(overlaps.Codes(counts, len(held)), 1, round(4 * (np.log2(len(held)) - 3)), 5)
     a, b = ([" ".join(t) for t in texts] for texts in (held, near))
     words, bits, row, key = sketches.of((a, a))
-    index = overlaps.Index([(bytes(16 * len(a)), *(x.tobytes() for x in (*words, *bits, row.astype(np.uint32), (key >> np.uint64(32)).astype(np.uint32))))], 5, sketches)
+    places = (key >> np.uint64(32) << np.uint64(32)) | row.astype(np.uint64)
+    index = overlaps.Index([(bytes(16 * len(a)), *(x.astype(np.int32).tobytes() for x in words), *(x.tobytes() for x in (*bits, places)))], 5, 1)
     words, bits, row, key = sketches.of((b, b))
     found = set(zip(*(x.tolist() for x in index.candidates(words, bits, row, key))))
     due = [k for k, (x, y) in enumerate(zip(held, near)) if distance(x, y) <= max(len(x), len(y)) // 5]
