@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tandemtext.llm import bitext, cutoffs, langid, leaks, overlaps, reading, scans, sentences, tokenize
 from tandemtext.llm.text import words
+from tandemtext.session import latest, table
 
 WORDS = [f"{a}{b}{c}" for a in "bdkt" for b in "aeiou" for c in ("lo", "mi", "ra", "su")]
 
@@ -508,3 +509,11 @@ def test_grades_of_held_out_texts(spark):
 def test_calibration_rises():
     x, y = reading.calibration(np.array([1.0, 2.0, 3.0, 4.0]), np.array([1.0, 3.0, 2.0, 5.0]))
     assert list(x) == [1.0, 2.5, 4.0] and list(y) == [1.0, 2.5, 5.0]
+
+
+def test_a_vocabulary_that_is_not_sent_gives_the_same_lines_and_paragraphs(spark):
+    folder = "/root/testdata/sf0.001"
+    sections, chapters = (latest(table(spark, folder, name), key) for name, key in (("sections", "section_id"), ("chapters", "chapter_id")))
+    for query in (scans.noisy_lines, scans.repaired):
+        sent, joined = (sorted(map(tuple, query(spark, sections, chapters, most=most).collect())) for most in (scans.VOCABULARY, 10))
+        assert sent == joined and len(sent) > 20
